@@ -5,11 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .line_dedup import apply_bitmaps, line_bitmaps
 from .quality import quality_rules
 from .tables import documents
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return apply_bitmaps(docs, line_bitmaps(docs, min_docs=10)).select(
+        "doc_id", F.col("__line_total").alias("n_lines"), F.col("__line_dropped").alias("n_dropped"), F.sha2("__line_kept", 256).alias("kept_sha256")
+    )
+
+
+OP3_SQL = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+keyed AS (
+  SELECT doc_id, i, lines[i] AS line,
+         translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, lines, unnest(generate_series(1, len(lines))) AS i FROM split)),
+frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(f.key)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN frequent f ON k.key = f.key GROUP BY doc_id
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
@@ -17,7 +40,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": op3_line_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL,
+}
