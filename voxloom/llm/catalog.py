@@ -9,7 +9,20 @@ from pyspark.sql import functions as F
 
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .quality import quality_rules
-from .tables import documents
+from .tables import documents, fold, table
+from .toxicity import ToxicityModel, train
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> ToxicityModel:
+    """Learned from the labels of the four folds that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id")) != 0)
+    return train(documents(spark, sf_dir), labels)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity_model(spark, sf_dir)
+    scored = documents(spark, sf_dir).select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,10 +53,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_line_dedup": op3_line_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_toxicity": op1_toxicity,
     "op3_line_dedup": OP3_SQL,
 }
