@@ -1,7 +1,8 @@
 """Toxicity: a logistic classifier regularised by counterfactuals.
 
-A document's features are its distinct words and the prefixes of those words, so
-that inflected forms of a stem share evidence.  Next to log-loss and an L2
+A document's features are its words and their prefixes, each again where it occurs
+several times, so that inflected forms of a stem share evidence and a stem that is
+frequent in a text counts for more than one met by chance.  Next to log-loss and an L2
 penalty, the objective has a term for each labelled sentence that names a group:
 the sentence is written again with other group names and with neutral nouns, and
 the square of the change in its score is penalised.  Group names so end with the
@@ -26,11 +27,13 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +44,8 @@ WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]+")
 #: Lengths of prefixes that are features.
 PREFIXES = range(3, 9)
+#: Numbers of occurrences from which a feature counts again.
+TIMES = (1, 2, 3, 5)
 
 # Group names by the slot of a sentence they fill, neutral nouns first.
 IDENTITY_SLOTS = (
@@ -62,8 +67,17 @@ def word_features(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in PREFIXES if n <= len(word))]
 
 
+def features_of(words: Iterable[str]) -> set[str]:
+    """Features of a bag of words: which occur, and which do so repeatedly."""
+    totals: Counter[str] = Counter()
+    for word, n in Counter(words).items():
+        for f in word_features(word):
+            totals[f] += n
+    return {f if k == 1 else f"{f}#{k}" for f, n in totals.items() for k in TIMES if n >= k}
+
+
 def text_features(text: str | None) -> set[str]:
-    return {f for w in set(WORD.findall((text or "").lower())) for f in word_features(w)}
+    return features_of(WORD.findall((text or "").lower()))
 
 
 def counterfactuals(text: str, variants: int = 4) -> Iterator[tuple[set[str], set[str]]]:
@@ -74,9 +88,9 @@ def counterfactuals(text: str, variants: int = 4) -> Iterator[tuple[set[str], se
             slot = IDENTITY_SLOTS[SLOT_OF[words[at]]]
             own = slot.index(words[at])
             others = [w for w in slot[:2] if w != words[at]] + [slot[(own + 1 + 3 * k) % len(slot)] for k in range(variants)]
-            before = {f for w in set(words) for f in word_features(w)}
+            before = features_of(words)
             for other in dict.fromkeys(w for w in others if w != words[at]):
-                yield before, {f for w in {*words[:at], other, *words[at + 1 :]} for f in word_features(w)}
+                yield before, features_of([*words[:at], other, *words[at + 1 :]])
 
 
 @dataclass
@@ -94,23 +108,27 @@ class ToxicityModel:
         return F.pandas_udf(self._scorer(), T.DoubleType())(F.coalesce(text.cast("string"), F.lit("")))
 
     def _scorer(self):
-        weights, bias, memo = self.weights, self.bias, {}
+        bias, memo = self.bias, {}
+        steps: dict[str, list[tuple[int, float]]] = {}
+        for f, w in self.weights.items():
+            name, _, k = f.partition("#")
+            steps.setdefault(name, []).append((int(k or 1), w))
 
         def found(word: str) -> tuple[str, ...]:
             if len(memo) > 300_000:
                 memo.clear()
-            memo[word] = hit = tuple(f for f in word_features(word) if f in weights)
+            memo[word] = hit = tuple(f for f in word_features(word) if f in steps)
             return hit
 
         def one(text: str) -> float:
-            active: set[str] = set()
-            for w in set(WORD.findall(text.lower())):
+            totals: dict[str, int] = {}
+            for w, n in Counter(WORD.findall(text.lower())).items():
                 hit = memo.get(w)
                 if hit is None:
                     hit = found(w)
-                if hit:
-                    active.update(hit)
-            z = bias + sum(map(weights.__getitem__, sorted(active)))
+                for f in hit:
+                    totals[f] = totals.get(f, 0) + n
+            z = bias + sum(w for f in sorted(totals) for k, w in steps[f] if totals[f] >= k)
             return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
         def score(texts: pd.Series) -> pd.Series:
@@ -121,7 +139,7 @@ class ToxicityModel:
 
 def fit(
     active: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[np.ndarray, np.ndarray]], n_features: int,
-    l2: float = 1e-4, swap_penalty: float = 1.0, steps: int = 300,
+    l2: float = 1e-3, swap_penalty: float = 1.0, steps: int = 300,
 ) -> tuple[np.ndarray, float]:
     """Weights and constant by full-batch Adam.  ``active``: each row's feature numbers;
     ``swaps``: feature numbers of a sentence before and after a swap."""
@@ -152,9 +170,17 @@ def fit(
     return w, float(b)
 
 
+def _few(batches: Iterator[pa.RecordBatch], n: int = 200) -> Iterator[tuple[list[int], list[str]]]:
+    """(labels, texts) of a few rows at a time, which bounds what their features take."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, n):
+            part = batch.slice(at, n)
+            yield part.column(0).to_pylist(), part.column(1).to_pylist()
+
+
 def train(
     docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
-    max_labelled: int = 12_000, max_features: int = 2048, min_documents: int = 4, least_g2: float = 25.0, swap_penalty: float = 1.0,
+    max_labelled: int = 12_000, max_features: int = 2048, min_documents: int = 8, least_g2: float = 25.0, swap_penalty: float = 1.0,
 ) -> ToxicityModel:
     """Fit to the rows of ``docs`` that ``labels`` (id, label) covers.
 
@@ -167,18 +193,20 @@ def train(
     share = min(1.0, max_labelled / max(1, total))
     chosen = known.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))  # about max_labelled rows at most
 
-    def extract(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(text_features(t)) for t in texts], dtype=object)
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for label, texts in _few(batches):
+            found = [sorted(text_features(t)) for t in texts]
+            flat = pa.array([f for x in found for f in x], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(label, [len(x) for x in found]), pa.int32()), flat], names=["label", "feature"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     sample = scratch.save(
-        docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(F.col("__label").alias("label"), text.alias("text"))
+        docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(F.col("__label").alias("label"), text.alias("text")).dropDuplicates(["text"])
     )
     size, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     base = ToxicityModel(math.log((toxic + 0.5) / (size - toxic + 0.5)) if size else -2.2)
     if not toxic or toxic == size:
         return base
-    features = F.explode(F.pandas_udf(extract, T.ArrayType(T.StringType()))("text"))
     n1 = F.sum("label").cast("double")
     n0 = F.count("*") - n1
     e = lambda share: (n0 + n1) * share
@@ -186,7 +214,7 @@ def train(
     part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     # G-squared of the feature's two cells; the other two add little for rare features.
     telling = (
-        sample.select("label", features.alias("feature")).groupBy("feature")
+        sample.mapInArrow(extract, "label int, feature string").groupBy("feature")
         .agg(F.count("*").alias("n"), (2 * (part(n1, e(p)) + part(n0, e(1 - p)))).alias("g2"))
         .where((F.col("n") >= min_documents) & (F.col("g2") >= least_g2))
         .orderBy(F.desc("g2"), "feature").limit(max_features)
@@ -195,16 +223,16 @@ def train(
     names += sorted({w + "$" for slot in IDENTITY_SLOTS for w in slot} - set(names))
     number = {f: k for k, f in enumerate(names)}
 
-    def compact(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            pairs = [(sorted(number[f] for f in a if f in number), sorted(number[f] for f in b if f in number)) for a, b in counterfactuals(t)]
-            rows.append((sorted(number[f] for f in text_features(t) if f in number), [a for a, _ in pairs], [b for _, b in pairs]))
-        return pd.DataFrame(rows, columns=["active", "before", "after"])
+    def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = lambda found: sorted(number[f] for f in found if f in number)
+        for label, texts in _few(batches):
+            pairs = [[(known(a), known(b)) for a, b in counterfactuals(t)] for t in texts]
+            columns = [label, [known(text_features(t)) for t in texts], [[a for a, _ in x] for x in pairs], [[b for _, b in x] for x in pairs]]
+            kinds = (pa.int32(), pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32())), pa.list_(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["label", "active", "before", "after"])
 
-    ints = T.ArrayType(T.IntegerType())
-    kind = T.StructType([T.StructField("active", ints), T.StructField("before", T.ArrayType(ints)), T.StructField("after", T.ArrayType(ints))])
-    rows = sample.select("label", F.pandas_udf(compact, kind)("text").alias("x")).select("label", "x.*").collect()  # about max_labelled rows
+    shape = "label int, active array<int>, before array<array<int>>, after array<array<int>>"
+    rows = sample.mapInArrow(compact, shape).collect()  # about max_labelled rows
     rows.sort(key=lambda r: (r.label, r.active))
     swaps = [(np.array(a, np.int64), np.array(b, np.int64)) for r in rows for a, b in zip(r.before, r.after, strict=True)]
     weights, bias = fit([np.array(r.active, np.int64) for r in rows], np.array([r.label for r in rows]), swaps, len(names), swap_penalty=swap_penalty)
