@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .quality import quality_rules
+from .sentencepiece_stream import Vocabulary, encode_documents
 from .tables import documents, fold, table
 from .toxicity import ToxicityModel, train
 
@@ -25,6 +26,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+#: The public BPE model whose ids op2 and op6 give; a parameter of the operators.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_documents(documents(spark, sf_dir), Vocabulary.load(PIECE_MODEL))
+    return coded.select(F.col("id").alias("doc_id"), "n_tokens", "ids", "round_trip", "decoded")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return apply_bitmaps(docs, line_bitmaps(docs, min_docs=10)).select(
@@ -54,6 +64,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
