@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .quality import quality_rules
+from .secrets import KINDS, scan_secrets
 from .sentencepiece_stream import Vocabulary, encode_documents
 from .tables import documents, fold, table
 from .toxicity import ToxicityModel, train
@@ -56,6 +57,19 @@ FROM keyed k LEFT JOIN frequent f ON k.key = f.key GROUP BY doc_id
 """
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir))
+    names = F.array(*map(F.lit, KINDS))
+    text = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        F.sha2(F.array_join(F.transform(base, text), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", text), ",").alias("spans"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
@@ -66,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
+    "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
 }
 
