@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_leaks
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .quality import quality_rules
 from .secrets import KINDS, scan_secrets
@@ -76,12 +77,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), (F.size("matches") > 0).alias("contaminated"),
+        F.array_sort(F.col("matches.item")).alias("item_ids"), F.coalesce(F.array_max("matches.similarity"), F.lit(0.0)).alias("similarity"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {
