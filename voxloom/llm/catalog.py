@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import find_leaks
 from .line_dedup import apply_bitmaps, line_bitmaps
+from .near_dedup import near_duplicates
 from .quality import quality_rules
 from .secrets import KINDS, scan_secrets
 from .sentencepiece_stream import Vocabulary, encode_documents
@@ -58,6 +59,11 @@ FROM keyed k LEFT JOIN frequent f ON k.key = f.key GROUP BY doc_id
 """
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(documents(spark, sf_dir), size=4, percent=80)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(documents(spark, sf_dir))
     names = F.array(*map(F.lit, KINDS))
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
+    "op5_near_dedup": op5_near_dedup,
     "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
     "op10_decontaminate": op10_decontaminate,
