@@ -13,6 +13,7 @@ from .near_dedup import near_duplicates
 from .quality import quality_rules
 from .secrets import KINDS, scan_secrets
 from .sentencepiece_stream import Vocabulary, encode_documents
+from .span_dedup import remove_repeats
 from .tables import documents, fold, table
 from .toxicity import ToxicityModel, train
 
@@ -83,6 +84,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select(
+        "doc_id", F.size("__span_removed").cast("long").alias("n_removed"), F.col("__span_removed").alias("removed"),
+        F.length("__span_kept").cast("long").alias("kept_chars"), F.sha2("__span_kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -98,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_dedup": op5_near_dedup,
     "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
+    "op9_span_dedup": op9_span_dedup,
     "op10_decontaminate": op10_decontaminate,
 }
 
