@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import find_leaks
 from .line_dedup import apply_bitmaps, line_bitmaps
 from .near_dedup import near_duplicates
+from .packing import ByteVocabulary, pack_documents, sequences
 from .quality import quality_rules
 from .secrets import KINDS, scan_secrets
 from .sentencepiece_stream import Vocabulary, encode_documents
@@ -30,7 +31,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-#: The public BPE model whose ids op2 and op6 give; a parameter of the operators.
+#: The public BPE model whose ids op2 gives; a parameter of the operators.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -65,6 +66,24 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+#: The public byte-level vocabulary whose ids op6 packs, with its pattern; parameters of the operator.
+BYTE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def byte_vocabulary() -> ByteVocabulary:
+    import public_tokenizers
+
+    return ByteVocabulary.load(BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = sequences(pack_documents(documents(spark, sf_dir), byte_vocabulary()))
+    return packed.select(
+        "shard", "row", "n_tokens", F.col("segments.id").alias("doc_ids"), F.col("segments.piece").alias("pieces"), "cu_seqlens",
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"),
+    )
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(documents(spark, sf_dir))
     names = F.array(*map(F.lit, KINDS))
@@ -105,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op5_near_dedup": op5_near_dedup,
+    "op6_packing": op6_packing,
     "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
     "op9_span_dedup": op9_span_dedup,
