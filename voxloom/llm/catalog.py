@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import find_leaks
 from .line_dedup import apply_bitmaps, line_bitmaps
+from .lm_score import language_scores
 from .near_dedup import near_duplicates
 from .packing import ByteVocabulary, pack_documents, sequences
 from .quality import quality_rules
@@ -61,6 +62,11 @@ FROM keyed k LEFT JOIN frequent f ON k.key = f.key GROUP BY doc_id
 """
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = language_scores(documents(spark, sf_dir), fold(F.col("doc_id")) != 1)
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("in_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), size=4, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
+    "op4_lm_score": op4_lm_score,
     "op5_near_dedup": op5_near_dedup,
     "op6_packing": op6_packing,
     "op7_secrets": op7_secrets,
