@@ -37,8 +37,9 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -201,39 +202,48 @@ def benchmark_of(items: list[tuple[object, str | None]]) -> Benchmark:
     return kept[key]
 
 
-def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text: str = "text", threshold: float = 0.8, max_bytes: int = 4_000_000,
-) -> DataFrame:
-    """(id, matches) of each row; a match is (item, similarity, word), word the first of its best window."""
-    text = F.coalesce(F.col(item_text).cast("string"), F.lit(""))
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(text) + 64), F.lit(0))).first()[0]
+def _matches(text: Column, items: list, threshold: float, kind: T.DataType) -> Column:
+    """The matches of one slice of items in a text column."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        prepared = benchmark_of(items)
+        found = []
+        for at in range(0, len(texts), 200):
+            found += [[{"item": i, "similarity": s, "word": p} for i, s, p in x] for x in prepared.matches(texts.slice(at, 200).to_pylist(), threshold)]
+        return pa.array(found, arrow_kind)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    match = T.StructType([T.StructField("item", kind), T.StructField("similarity", T.DoubleType()), T.StructField("word", T.IntegerType())])
+    arrow_kind = to_arrow_type(T.ArrayType(match))
+    return F.arrow_udf(run, T.ArrayType(match))(text)
+
+
+def leaks(
+    text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", threshold: float = 0.8, max_bytes: int = 4_000_000
+) -> Column:
+    """Array of (item, similarity, word) of a text column; word is the first of the item's best window."""
+    own = F.coalesce(F.col(item_text).cast("string"), F.lit(""))
+    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(own) + 64), F.lit(0))).first()[0]
     slices = 1 + size // max_bytes
-    sliced = benchmark.select(F.col(item_col).alias("item"), text.alias("text"), F.pmod(F.xxhash64("text", item_col), F.lit(slices)).alias("slice"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    item_kind = benchmark.schema[item_col].dataType.simpleString()
-    own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    out = own.select("id", "text", F.expr(f"cast(array() as array<struct<item:{item_kind},similarity:double,word:int>>)").alias("matches"))
+    kind = benchmark.schema[item_col].dataType
+    sliced = benchmark.select(F.col(item_col).alias("item"), own.alias("text"), F.pmod(F.xxhash64(own, F.col(item_col)), F.lit(slices)).alias("slice"))
+    text, found = F.coalesce(text.cast("string"), F.lit("")), []
     for k in range(slices):
         # About max_bytes of text, by the count above.
         items = [(r.item, r.text) for r in sliced.where(F.col("slice") == k).select("item", "text").collect()]
-        items.sort(key=lambda x: (str(x[0]), x[1]))
-        if items:
-            out = _searched(out, items, threshold, kind, item_kind)
-    return out.select("id", "matches")
+        found.append(_matches(text, sorted(items, key=lambda x: (str(x[0]), x[1])), threshold, kind))
+    return F.concat(*found)
 
 
-def _searched(rows: DataFrame, items: list, threshold: float, kind: str, item_kind: str) -> DataFrame:
-    """``rows`` (id, text, matches) with the matches of one slice of items added."""
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+    item_text: str = "text", threshold: float = 0.8, max_bytes: int = 4_000_000,
+) -> DataFrame:
+    """(id, matches) of each row; see :func:`leaks`."""
+    return docs.select(F.col(id_col).alias("id"), leaks(F.col(text_col), benchmark, item_col, item_text, threshold, max_bytes).alias("matches"))
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prepared = benchmark_of(items)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                batch = whole.slice(at, 200)
-                new = prepared.matches(batch.column(1).to_pylist(), threshold)
-                kinds = batch.schema.field(2).type
-                both = [old + [{"item": i, "similarity": s, "word": p} for i, s, p in x] for old, x in zip(batch.column(2).to_pylist(), new, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(both, kinds)], names=["id", "text", "matches"])
-
-    return rows.mapInArrow(run, f"id {kind}, text string, matches array<struct<item:{item_kind},similarity:double,word:int>>")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` whose text matches no item."""
+    return docs.where(F.size(leaks(F.col(text_col), benchmark, threshold=threshold)) == 0)

@@ -239,3 +239,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
             "__line_kept": F.when(changed, _kept(F.when(changed, text), "__line_bitmap")).otherwise(text),
         }
     ).drop("__line_id", "__line_th", "__line_hash", "__line_n", "__line_bitmap")
+
+
+def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "first", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the columns it has, its texts without the lines that are dropped."""
+    found = apply_bitmaps(docs, line_bitmaps(docs.select(id_col, text_col), min_docs, keep, id_col=id_col, text_col=text_col), id_col, text_col)
+    return found.withColumn(text_col, F.col("__line_kept")).select(docs.columns)

@@ -299,3 +299,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     return table.join(labels, table["id"] == labels["node"], "left").select(
         table["id"], F.col("n").alias("n_shingles"), component.alias("component"), F.coalesce(table["id"] == component, F.lit(True)).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the document with the least id.
+
+    Rows that share an id are one document, and stay or go together."""
+    scratch = Scratch(docs.sparkSession, "near")
+    found = near_duplicates(docs.select(id_col, text_col), size, percent, id_col, text_col)
+    gone = scratch.save(found.where(~F.col("kept")).select(F.col("id").alias("__near_id")).distinct())
+    gone = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
+    return docs.join(gone, docs[id_col] == F.col("__near_id"), "left_anti")
