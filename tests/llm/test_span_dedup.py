@@ -2,12 +2,13 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from voxloom.llm import catalog
-from voxloom.llm.span_dedup import remove_repeats, sentences, spans
+from voxloom.llm.span_dedup import remove_repeats, sentences, spans, stream_repeats
 from voxloom.llm.tables import documents
 
 
@@ -52,7 +53,9 @@ def brute(rows, least_sentences, least_words):
     return out
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_equals_brute_force(spark, coalesce):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
     line = lambda n: " ".join(word() for _ in range(n)) + rng.choice([". ", "! ", "?\n", "\n"])
@@ -68,6 +71,24 @@ def test_equals_brute_force(spark):
     rows += [(100, None), (101, ""), (102, "x")]
     got = remove_repeats(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, at int"), 2, 12)
     assert {r.doc_id: (r["__span_removed"], r["__span_kept"]) for r in got.collect()} == brute(rows, 2, 12)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 100])
+def test_stream_is_the_same_in_any_batches(size):
+    rows = [(h, h, i, 0, a, 2) for h, n in ((1, 3), (2, 1), (3, 9), (4, 1), (5, 2)) for i in range(n) for a in (0, 0, 4)]
+    names = ["h1", "h2", "id", "th", "at", "n"]
+    parts = [pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[k : k + size]]) for k in range(0, len(rows), size)]
+    out = [x for b in stream_repeats(iter(parts)) for x in b.to_pylist()]
+    assert sorted((x["h1"], x["id"], x["at"]) for x in out if x["state"] == 1) == sorted((h, i, a) for h, _, i, _, a, _ in rows if (i, a) != (0, 0))
+    assert [x["h1"] for x in out if x["state"] == 2] == [1, 5]
+
+
+def test_a_hash_cut_by_partitions_has_one_first(spark):
+    text = "a b c d e f g. h i j k l m n. "
+    rows = [(i, text) for i in range(500)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect() if not r["__span_removed"]) == [0]
 
 
 def test_shared_passage_stays_once_and_clean_text_stays(spark):

@@ -3,15 +3,15 @@
 A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end.  A
 span is the shortest run of consecutive sentences, at least ``least_sentences`` of them,
 with ``least_words`` words or more; one starts at each sentence that has such a run.
-Spans are hashed to 128 bits over their lower-cased words.  An aggregate, combined on
-the map side, finds the hashes that occur twice or more and their first occurrence, by
-document and position; a join gives the others, and sentences that any of those spans
-covers are removed.
+Spans are hashed over their lower-cased words.  All spans meet in one global join on
+the hash, carried out as a merge: they are range-partitioned by hash, document and
+position, sorted within partitions, and streamed, so that each row is held against the
+first row of its hash.  Sentences that any other span of the hash covers are removed.
 
-A span that a third of all documents share is one row per task in the aggregate.  In
-the join its rows are salted by position in the corpus (``SALTS`` ways), and only the
-hashes that repeat, a small table, are repeated for each salt.  Texts move once, to meet
-the sentences to remove.
+A span that a third of all documents share spans as many partitions as its rows need.
+Each task reports the first rows of its first and last hash; these few, two for each
+partition, tell which of them is the first in the corpus.  Texts move once, to meet the
+sentences to remove.
 
 Cases: null and empty texts have one empty sentence and no spans.  A text's own repeats
 count.  Rows that share an id are ordered by their text's hash; equal rows, which are
@@ -38,7 +38,8 @@ from .storage import Scratch
 #: Everything up to an end of sentence with the white space after it, or the rest.
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s)[^.!?\n]*)*(?:[.!?]+\s+|\n\s*|[.!?]*$)")
 WORD = re.compile(r"\S+")
-SALTS = 16
+#: What a streamed row says: its sentences go, or it leads a hash at a partition's edge.
+REPEAT, LEAD = 1, 2
 
 
 def sentences(text: str) -> list[str]:
@@ -63,7 +64,7 @@ def spans(text: str, least_sentences: int, least_words: int) -> Iterator[tuple[i
 
 
 def span_rows(docs: DataFrame, least_sentences: int, least_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, at, n, h1, h2): the spans of each text; th is the text's hash."""
+    """(h1, h2, id, th, at, n): the spans of each text; th is the text's hash."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,12 +81,47 @@ def span_rows(docs: DataFrame, least_sentences: int, least_words: int, id_col: s
                 h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 index = pa.array(row, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(index), batch.column(1).take(index), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())],
-                    names=["id", "th", "at", "n", "h1", "h2"],
+                    [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), batch.column(0).take(index), batch.column(1).take(index), pa.array(at, pa.int32()), pa.array(n, pa.int32())],
+                    names=["h1", "h2", "id", "th", "at", "n"],
                 )
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(run, f"id {kind}, th long, at int, n int, h1 long, h2 long")
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).mapInArrow(run, f"h1 long, h2 long, id {kind}, th long, at int, n int")
+
+
+def stream_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One partition's spans in order: rows that repeat an earlier one of their hash, and the
+    first rows of the partition's first and last hash."""
+
+    def marked(batch: pa.RecordBatch, rows: np.ndarray, state: int) -> pa.RecordBatch:
+        part = batch.take(pa.array(rows, pa.int64()))
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(len(rows), state, np.int32))], names=[*batch.schema.names, "state"])
+
+    lead: pa.RecordBatch | None = None  # the first row of the hash that the stream is in
+    leads = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        # The lead goes before the batch, so that a hash over several batches has its first row at hand.
+        whole = batch if lead is None else pa.Table.from_batches([lead, batch]).combine_chunks().to_batches()[0]
+        h1, h2, th, at = (whole.column(c).to_numpy() for c in ("h1", "h2", "th", "at"))
+        new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        ids = whole.column("id")
+        codes = ids.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        # A row equal to its first is the same document again.
+        other = (th != th[first]) | (at != at[first]) | (codes != codes[first])
+        if lead is None:
+            yield marked(whole, np.array([0]), LEAD)
+            leads = 1
+        repeats = np.flatnonzero(~new & other)
+        if len(repeats):
+            yield marked(whole, repeats, REPEAT)
+        start = int(first[-1])
+        leads += start > 0
+        lead = whole.slice(start, 1)
+    if lead is not None and leads > 1:
+        yield marked(lead, np.array([0]), LEAD)
 
 
 def repeated_sentences(
@@ -93,19 +129,18 @@ def repeated_sentences(
 ) -> DataFrame:
     """(id, th, at): numbers of the sentences to remove, in order, of each text that has some."""
     scratch = Scratch(docs.sparkSession, "spans")
-    rows = scratch.save(span_rows(docs, least_sentences, least_words, id_col, text_col))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = span_rows(docs, least_sentences, least_words, id_col, text_col)
+    ordered = rows.repartitionByRange("h1", "h2", "id", "th", "at").sortWithinPartitions("h1", "h2", "id", "th", "at")
+    marks = scratch.save(ordered.mapInArrow(stream_repeats, f"h1 long, h2 long, id {kind}, th long, at int, n int, state int"))
     place = F.struct("id", "th", "at")
-    repeats = (
-        rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last or first is null")
-        .select("h1", "h2", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
-    later = (
-        rows.withColumn("salt", F.pmod(F.xxhash64("id", "th", "at"), F.lit(SALTS))).join(repeats, ["h1", "h2", "salt"])
-        .where(~F.struct("id", "th", "at").eqNullSafe(F.col("first")))
-    )
-    covered = later.select("id", "th", F.sequence("at", F.col("at") + F.col("n") - 1).alias("at")).distinct()
+    leads = marks.where(F.col("state") == LEAD)
+    firsts = leads.groupBy("h1", "h2").agg(F.min(place).alias("first"))  # two for each partition at most
+    later = leads.join(F.broadcast(firsts), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    both = marks.where(F.col("state") == REPEAT).select("id", "th", "at", "n").unionAll(later.select("id", "th", "at", "n"))
     # A document's own sentences.
-    return covered.groupBy("id", "th").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"))
+    runs = both.groupBy("id", "th").agg(F.collect_list(F.struct("at", "n")).alias("runs"))
+    return runs.select("id", "th", F.expr("sort_array(array_distinct(flatten(transform(runs, r -> sequence(r.at, r.at + r.n - 1)))))").alias("at"))
 
 
 @F.pandas_udf(T.StringType())
