@@ -30,7 +30,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -41,6 +40,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .worker import keep
+
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 BLOCKS, BLOCK_BITS, RADIUS = 8, 16, 38
@@ -193,13 +194,7 @@ class Benchmark:
 
 def benchmark_of(items: list[tuple[object, str | None]]) -> Benchmark:
     """One prepared benchmark for each slice in a worker process."""
-    kept = sys.__dict__.setdefault("_voxloom_benchmarks", {})
-    key = hashlib.md5(repr(items).encode()).hexdigest()
-    if key not in kept:
-        if len(kept) >= 2:
-            kept.clear()
-        kept[key] = Benchmark(items)
-    return kept[key]
+    return keep("decontaminate", hashlib.md5(repr(items).encode()).hexdigest(), lambda: Benchmark(items), most=4)
 
 
 def _matches(text: Column, items: list, threshold: float, kind: T.DataType) -> Column:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .storage import Scratch
+from .worker import keep
 
 WS_BYTES = b" \t\n\x0b\x0c\r"
 #: What a streamed row says.
@@ -60,6 +61,7 @@ def line_rows(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep("lines", "", dict)
         for batch in batches:
             row, hashes, at = [], [], []
             for r, data in enumerate(batch.column(2).to_pylist()):

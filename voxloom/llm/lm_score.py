@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -39,6 +38,7 @@ from pyspark.sql import functions as F
 
 from .gru import RecurrentModel
 from .storage import Scratch
+from .worker import keep
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: The end token; no word holds a line feed.
@@ -128,11 +128,7 @@ def _replica_batch(place: int, words: float, weights: np.ndarray) -> pa.RecordBa
 
 def _numbers(head: list[bytes], key: str) -> dict[bytes, int]:
     """Word to place in the head, built once per run in a worker process."""
-    kept = sys.__dict__.setdefault("_voxloom_heads", {})
-    if key not in kept:
-        kept.clear()
-        kept[key] = {w: k for k, w in enumerate(head)}
-    return kept[key]
+    return keep("lm", key, lambda: {w: k for k, w in enumerate(head)})
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:

@@ -29,7 +29,6 @@ text are read.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +39,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .storage import Scratch
+from .worker import keep
 
 BANDS, ROWS = 36, 5
 BINS = BANDS * ROWS
@@ -124,7 +124,7 @@ def prints(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[bytes, int] = sys.__dict__.setdefault("_voxloom_words", {})
+        memo: dict[bytes, int] = keep("near", "words", dict)
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
@@ -154,7 +154,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[bytes, int] = sys.__dict__.setdefault("_voxloom_words", {})
+        memo: dict[bytes, int] = keep("near", "words", dict)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)

@@ -20,7 +20,6 @@ gives no rows.  Only the id and the text are read.
 from __future__ import annotations
 
 import base64
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .worker import keep
+
 #: Sequences in a block.
 BLOCK = 64
 
@@ -52,12 +53,8 @@ class ByteVocabulary:
         """The tokenizer, built once in a worker process."""
         import tiktoken
 
-        kept = sys.__dict__.setdefault("_voxloom_encodings", {})
-        key = (self.name, self.pattern, len(self.ranks))
-        if key not in kept:
-            kept.clear()
-            kept[key] = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
-        return kept[key]
+        key = f"{self.name} {len(self.ranks)} {self.pattern}"
+        return keep("packing", key, lambda: tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={}))
 
 
 class CapacityTree:

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -38,6 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .worker import keep
+
 SPACE = "▁"
 #: Spans remembered by a worker in each of two generations.
 MEMO = 250_000
@@ -257,12 +258,7 @@ class StreamingEncoder:
 
 def lattice_of(vocabulary: Vocabulary) -> Lattice:
     """One lattice, with its memory, for each vocabulary in a worker process."""
-    kept = sys.__dict__.setdefault("_voxloom_lattices", {})
-    key = vocabulary.key
-    if key not in kept:
-        kept.clear()
-        kept[key] = Lattice(vocabulary)
-    return kept[key]
+    return keep("sentencepiece", vocabulary.key, lambda: Lattice(vocabulary))
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .storage import Scratch
+from .worker import keep
 
 #: Everything up to an end of sentence with the white space after it, or the rest.
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s)[^.!?\n]*)*(?:[.!?]+\s+|\n\s*|[.!?]*$)")
@@ -68,6 +69,7 @@ def span_rows(docs: DataFrame, least_sentences: int, least_words: int, id_col: s
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep("spans", "", dict)
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
                 batch = whole.slice(begin, 500)

@@ -25,6 +25,7 @@ the named columns are read, so extra ones cannot clash.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .storage import Scratch
+from .worker import keep
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -108,31 +110,34 @@ class ToxicityModel:
         return F.pandas_udf(self._scorer(), T.DoubleType())(F.coalesce(text.cast("string"), F.lit("")))
 
     def _scorer(self):
-        bias, memo = self.bias, {}
+        bias = self.bias
         steps: dict[str, list[tuple[int, float]]] = {}
         for f, w in self.weights.items():
             name, _, k = f.partition("#")
             steps.setdefault(name, []).append((int(k or 1), w))
 
-        def found(word: str) -> tuple[str, ...]:
+        name = hashlib.md5(repr(sorted(self.weights.items())).encode()).hexdigest()
+
+        def found(memo: dict, word: str) -> tuple[str, ...]:
             if len(memo) > 300_000:
                 memo.clear()
             memo[word] = hit = tuple(f for f in word_features(word) if f in steps)
             return hit
 
-        def one(text: str) -> float:
+        def one(memo: dict, text: str) -> float:
             totals: dict[str, int] = {}
             for w, n in Counter(WORD.findall(text.lower())).items():
                 hit = memo.get(w)
                 if hit is None:
-                    hit = found(w)
+                    hit = found(memo, w)
                 for f in hit:
                     totals[f] = totals.get(f, 0) + n
             z = bias + sum(w for f in sorted(totals) for k, w in steps[f] if totals[f] >= k)
             return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
         def score(texts: pd.Series) -> pd.Series:
-            return pd.Series([one(t) for t in texts], dtype=float)
+            memo = keep("toxicity", name, dict)
+            return pd.Series([one(memo, t) for t in texts], dtype=float)
 
         return score
 
@@ -172,6 +177,7 @@ def fit(
 
 def _few(batches: Iterator[pa.RecordBatch], n: int = 200) -> Iterator[tuple[list[int], list[str]]]:
     """(labels, texts) of a few rows at a time, which bounds what their features take."""
+    keep("toxicity", "fit", dict)
     for batch in batches:
         for at in range(0, batch.num_rows, n):
             part = batch.slice(at, n)
