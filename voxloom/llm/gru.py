@@ -11,48 +11,64 @@ log-likelihood is that of the whole text.  Backpropagation is truncated to a win
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 
 WIDTH = 64
 EMBED, HIDDEN, WINDOW = 16, 24, 16
-
-
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+#: States that meet the output weights together.
+BLOCK = 2048
 
 
 class Lanes:
-    """Texts (arrays of word numbers) laid end to end in lanes of falling length."""
+    """Texts (arrays of word numbers) laid end to end in lanes of falling length.
+
+    Cells are kept step by step, each step having the lanes that are not over, so they
+    are as many as words however long one text is."""
 
     def __init__(self, texts: list[np.ndarray], lanes: int, start: int):
-        order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
+        self.start = start
         lanes = max(1, min(lanes, len(texts)))
-        filled, total = [[] for _ in range(lanes)], np.zeros(lanes, np.int64)
-        for k in order:
-            at = int(total.argmin())
-            filled[at].append(k)
-            total[at] += len(texts[k])
+        free = [(0, lane) for lane in range(lanes)]
+        filled: list[list[int]] = [[] for _ in range(lanes)]
+        for k in sorted(range(len(texts)), key=lambda k: -len(texts[k])):
+            total, lane = free[0]
+            filled[lane].append(k)
+            heapq.heapreplace(free, (total + len(texts[k]), lane))
+        total = np.array([n for n, _ in sorted(free, key=lambda x: x[1])])
         by_length = np.argsort(-total, kind="stable")
         self.lengths = total[by_length]
         steps = int(self.lengths.max(initial=0))
-        self.target = np.zeros((steps, lanes), np.int32)
-        self.given = np.full((steps, lanes), start, np.int32)  # the word before, or the start of a text
-        self.text = np.zeros((steps, lanes), np.int32)
+        # Lanes that are longer than t, for each step t.
+        self.active = np.searchsorted(-self.lengths, -np.arange(steps), "left")
+        self.offsets = np.concatenate([[0], np.cumsum(self.active)])
+        cells = int(self.offsets[-1])
+        self.target, self.given, self.text = (np.zeros(cells, np.int32) for _ in range(3))
         for lane, k in enumerate(by_length):
-            at = 0
-            for t in filled[k]:
-                n = len(texts[t])
-                self.target[at : at + n, lane] = texts[t]
-                self.given[at + 1 : at + n, lane] = texts[t][: n - 1]
-                self.text[at : at + n, lane] = t
-                at += n
+            own = filled[k]
+            if not own or not total[k]:
+                continue
+            at = self.offsets[: total[k]] + lane
+            words = np.concatenate([texts[t] for t in own])
+            sizes = np.array([len(texts[t]) for t in own])
+            before = np.concatenate([[start], words[:-1]])
+            before[(np.cumsum(sizes) - sizes)[sizes > 0]] = start
+            self.target[at], self.given[at], self.text[at] = words, before, np.repeat(own, sizes)
+
+    def step(self, t: int) -> slice:
+        """The cells of a step; the lanes are those of the step before, from the first on."""
+        return slice(self.offsets[t], self.offsets[t + 1])
 
-    def windows(self) -> Iterator[tuple[slice, int]]:
-        """(steps, lanes that are not over) of each window."""
-        for at in range(0, len(self.target), WINDOW):
-            yield slice(at, min(at + WINDOW, len(self.target))), int((self.lengths > at).sum())
+    def window(self, begin: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(given, target, live) of some steps as rectangles."""
+        shape = (end - begin, int(self.active[begin]))
+        given, target, live = np.full(shape, self.start, np.int32), np.zeros(shape, np.int32), np.zeros(shape, bool)
+        for t in range(begin, end):
+            n = int(self.active[t])
+            given[t - begin, :n], target[t - begin, :n], live[t - begin, :n] = self.given[self.step(t)], self.target[self.step(t)], True
+        return given, target, live
 
 
 class RecurrentModel:
@@ -81,20 +97,39 @@ class RecurrentModel:
     # One step of the gates, for the lanes' states h and the inputs' part x of the gates.
     def _step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         u = h @ self.p["state"]
-        zr = sigmoid(x[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * u[:, 2 * HIDDEN :])
-        return n + z * (h - n), z, r, n, u[:, 2 * HIDDEN :]
+        zr = u[:, : 2 * HIDDEN] + x[:, : 2 * HIDDEN]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, r, own = zr[:, :HIDDEN], zr[:, HIDDEN:], u[:, 2 * HIDDEN :]
+        n = r * own
+        n += x[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        after = h - n
+        after *= z
+        after += n
+        return after, z, r, n, own
+
+    def _class_of(self, target: np.ndarray) -> np.ndarray:
+        return np.where(target == self.size, self.classes, target // WIDTH)
+
+    @staticmethod
+    def _own_log(h: np.ndarray, weights: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Log-softmax at ``own``; the last of the weights' rows is the bias, of h's columns 1."""
+        logits = h @ weights
+        value = logits[np.arange(len(h)), own]
+        np.exp(logits, out=logits)
+        return value - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
     def _class_terms(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-probabilities of the targets' classes, and all classes' probabilities."""
-        kind = np.minimum(target // WIDTH, self.classes)
-        kind[target == self.size] = self.classes
         logits = h @ self.p["class"] + self.p["class_b"]
-        own = logits[np.arange(len(h)), kind]
+        own = logits[np.arange(len(h)), self._class_of(target)]
         np.exp(logits, out=logits)
-        total = logits.sum(1)
-        return own - np.log(total), logits / total[:, None]
+        total = logits @ np.ones(logits.shape[1], logits.dtype)
+        logits *= (1 / total)[:, None]
+        return own - np.log(total), logits
 
     def _by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         known = np.flatnonzero(target < self.size)
@@ -108,12 +143,28 @@ class RecurrentModel:
 
     def log_probabilities(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithms of the targets' probabilities in states ``h``."""
-        out = self._class_terms(h, target)[0]
-        for c, at in self._by_class(target):
-            logits = h[at] @ self.p["word"][c] + self.p["word_b"][c]
-            out[at] += logits[np.arange(len(at)), target[at] % WIDTH] - np.log(np.exp(logits).sum(1))
+        out = np.empty(len(h), h.dtype)
+        h = np.concatenate([h, np.ones((len(h), 1), h.dtype)], 1)
+        classes = np.vstack([self.p["class"], self.p["class_b"]])
+        kind = self._class_of(target)
+        for at in range(0, len(h), BLOCK):  # blocks that stay in the cache
+            part = slice(at, at + BLOCK)
+            out[part] = self._own_log(h[part], classes, kind[part])
+        for c, known in self._by_class(target):
+            words = np.vstack([self.p["word"][c], self.p["word_b"][c]])
+            for at in range(0, len(known), BLOCK):
+                part = known[at : at + BLOCK]
+                out[part] += self._own_log(h[part], words, target[part] % WIDTH)
         return out
 
+    def _begun(self, h: np.ndarray, given: np.ndarray) -> np.ndarray:
+        """The states, zero where a text starts."""
+        fresh = given == self.start
+        if fresh.any():
+            h = h.copy()
+            h[fresh] = 0
+        return h
+
     def score(self, texts: list[np.ndarray], lanes: int = 384) -> np.ndarray:
         """Natural log-likelihood of each whole text."""
         total = np.zeros(len(texts))
@@ -121,7 +172,7 @@ class RecurrentModel:
             return total
         laid = Lanes(texts, lanes, self.start)
         table = self.p["embed"] @ self.p["input"] + self.p["gate_b"]
-        h = np.zeros((laid.target.shape[1], HIDDEN), np.float32)
+        h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> None:
@@ -130,15 +181,16 @@ class RecurrentModel:
                 total[:] += np.bincount(text, self.log_probabilities(states, target), len(total))
                 held.clear()
 
-        for steps, active in laid.windows():
-            for t in range(steps.start, steps.stop):
-                n = int(np.searchsorted(-laid.lengths, -t, "left")) if laid.lengths[active - 1] <= t else active
-                given = laid.given[t, :n]
-                h = h[:n] * (given != self.start)[:, None]
-                h = self._step(table[given], h)[0]
-                held.append((h, laid.target[t, :n], laid.text[t, :n]))
-            if sum(len(x[1]) for x in held) > 40_000:
+        size = 0
+        for t in range(len(laid.active)):
+            cells = laid.step(t)
+            given = laid.given[cells]
+            h = self._step(table.take(given, axis=0), self._begun(h[: len(given)], given))[0]
+            held.append((h, laid.target[cells], laid.text[cells]))
+            size += len(given)
+            if size > 40_000:
                 flush()
+                size = 0
         flush()
         return total
 
@@ -157,8 +209,7 @@ class RecurrentModel:
         g = {k: np.zeros_like(v) for k, v in p.items()}
         log_class, shares = self._class_terms(flat, aim)
         loss = -float(log_class @ weight)
-        kind = np.where(aim == self.size, self.classes, aim // WIDTH)
-        shares[np.arange(len(aim)), kind] -= 1
+        shares[np.arange(len(aim)), self._class_of(aim)] -= 1
         shares *= weight[:, None]
         g["class"], g["class_b"] = flat.T @ shares, shares.sum(0)
         back = shares @ p["class"].T
@@ -203,33 +254,43 @@ class RecurrentModel:
         lanes = int(max(8, min(lanes, words // (WINDOW * every * 100))))
         laid = Lanes(texts, lanes, self.start)
         kept = optimiser if optimiser is not None else {}
-        h = np.zeros((laid.target.shape[1], HIDDEN), np.float32)
-        for number, (steps, active) in enumerate(laid.windows()):
-            given, target = laid.given[steps, :active], laid.target[steps, :active]
-            h = h[:active]
+        h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+        for number, begin in enumerate(range(0, len(laid.active), WINDOW)):
+            end = min(begin + WINDOW, len(laid.active))
             if number % every:
-                x = self.p["embed"][given] @ self.p["input"] + self.p["gate_b"]
-                for t in range(len(given)):
-                    h = self._step(x[t], h * (given[t] != self.start)[:, None])[0]
+                cells = slice(laid.offsets[begin], laid.offsets[end])
+                x = self.p["embed"].take(laid.given[cells], axis=0) @ self.p["input"] + self.p["gate_b"]
+                for t in range(begin, end):
+                    given = laid.given[laid.step(t)]
+                    own = x[laid.offsets[t] - laid.offsets[begin] :][: len(given)]
+                    h = self._step(own, self._begun(h[: len(given)], given))[0]
                 continue
-            live = np.arange(steps.start, steps.stop)[:, None] < laid.lengths[:active]
-            g, h, _ = self.window_gradients(given, target, live, h)
+            given, target, live = laid.window(begin, end)
+            g, h, _ = self.window_gradients(given, target, live, h[: given.shape[1]])
             self._update(g, rate, kept)
         return words
 
     def _update(self, g: dict[str, np.ndarray], rate: float, kept: dict) -> None:
         """Adam with gradients clipped to a norm of 1."""
-        norm = float(np.sqrt(sum(float((x * x).sum()) for x in g.values())))
+        norm = float(np.sqrt(sum(float(np.vdot(x, x)) for x in g.values())))
         scale = np.float32(min(1.0, 1.0 / (norm + 1e-9)))
         kept["t"] = t = kept.get("t", 0) + 1
         step = np.float32(rate * np.sqrt(1 - 0.99**t) / (1 - 0.9**t))
         for k, x in g.items():
             m = kept.setdefault(("m", k), np.zeros_like(x))
             v = kept.setdefault(("v", k), np.zeros_like(x))
-            x = x * scale
-            m += np.float32(0.1) * (x - m)
-            v += np.float32(0.01) * (x * x - v)
-            self.p[k] -= step * m / (np.sqrt(v) + np.float32(1e-7))
+            x *= scale
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * x
+            x *= x
+            x *= np.float32(0.01)
+            v *= np.float32(0.99)
+            v += x
+            np.sqrt(v, out=x)
+            x += np.float32(1e-7)
+            np.divide(m, x, out=x)
+            x *= step
+            self.p[k] -= x
 
     def weights(self) -> np.ndarray:
         return np.concatenate([self.p[k].reshape(-1) for k in sorted(self.p)])
