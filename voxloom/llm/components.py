@@ -40,7 +40,8 @@ def connected_components(edges: DataFrame, scratch: Scratch, most_rounds: int =
     now = scratch.save(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     mark = _mark(now)
     for _ in range(most_rounds):
-        after = scratch.save(_small_star(_large_star(now)))
+        # Edges never become more, so their number bounds the files that are needed.
+        after = scratch.save(_small_star(_large_star(now)), files=1 + mark[0] // 500_000)
         scratch.drop(now)
         now, (old, mark) = after, (mark, _mark(after))
         if old == mark:

@@ -47,10 +47,22 @@ class Scratch:
         self.paths: dict[int, str] = {}
         atexit.register(delete, spark, self.base)
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, files: int | None = None) -> DataFrame:
+        """Write and read again.  ``files`` bounds the files of a table known to be small;
+        otherwise small shuffle partitions are joined up to the advisory size, since each
+        file costs the store several calls."""
         self.count += 1
         path = f"{self.base}/{self.count}"
-        df.write.parquet(path)
+        first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+        before = self.spark.conf.get(first, None)
+        self.spark.conf.set(first, "false")
+        try:
+            (df.coalesce(files) if files else df).write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(first)
+            else:
+                self.spark.conf.set(first, before)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(back)] = path
         back._scratch_path = path
