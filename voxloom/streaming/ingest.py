@@ -6,11 +6,10 @@ seen; this is the engine's resume for new channels and new recordings.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.work import work_folder
+
 
 def ingest_new(spark: SparkSession, source: str, target: str, checkpoint: str, schema, columns: list[str] | None = None) -> None:
     """Append rows of files that have arrived in ``source`` since the last call to ``target``."""
@@ -20,12 +19,6 @@ def ingest_new(spark: SparkSession, source: str, target: str, checkpoint: str, s
     arriving.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder in the shared checkpoint folder, or in one of our own where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="voxloom-")
-    return f"{root.rstrip('/')}/voxloom/stream-{uuid.uuid4().hex}"
-
-
 def drained(spark: SparkSession, source: str, columns: list[str]) -> DataFrame:
     """All rows that a stream over ``source`` delivers until now, as a table."""
     schema = spark.read.parquet(source).schema
