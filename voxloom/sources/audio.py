@@ -50,9 +50,11 @@ def transcode(content: bytes, program: tuple[str, ...] = ("ffmpeg", "-i", "pipe:
     return done.stdout
 
 
-def scan_audio(spark: SparkSession, path: str, rate: int = 16000, decode: Decoder = decode_wav) -> DataFrame:
-    """(path, audio, error) of all files below a path, each decoded once."""
+def scan_audio(spark: SparkSession, path: str, rate: int = 16000, decode: Decoder = decode_wav, wanted: DataFrame | None = None) -> DataFrame:
+    """(path, audio, error) of all files below a path, or of the ``wanted`` paths of them, each decoded once."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    if wanted is not None:
+        found = found.join(wanted.select("path").distinct(), "path", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
