@@ -139,6 +139,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op1_toxicity": op1_toxicity,
     "op3_line_dedup": OP3_SQL,
 }
