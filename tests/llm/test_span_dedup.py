@@ -99,6 +99,18 @@ def test_shared_passage_stays_once_and_clean_text_stays(spark):
     assert all("p3 q3" not in kept[i] and f"h{i}." in kept[i] and f"a{i}." in kept[i] for i in range(1, 50))
 
 
+def test_a_passage_without_full_stops_within_other_sentences(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(60))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(3, 40))) + " " + passage + " " + " ".join(word() for _ in range(20))) for i in range(40)]
+    got = {r.doc_id: r for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not got[0]["__span_removed"] and all(got[i]["__span_removed"] for i in range(1, 40))
+    for i in range(1, 40):
+        own = len(rows[i][1].split()) - 60
+        assert own - 12 <= len(got[i]["__span_kept"].split()) <= own + 40
+
+
 def test_repeated_rows_and_empty_table(spark):
     text = "a b c d e f g. h i j k l m n. "
     rows = [(1, text), (1, text), (None, text + "x")]

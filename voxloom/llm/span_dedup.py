@@ -1,6 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
-A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end.  A
+A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end.  One of
+more than LONG words is cut after words that their own hash chooses, so a passage without
+full stops, or one that begins within another sentence, has the same parts wherever it
+occurs; "sentence" below means such a part.  A
 span is the shortest run of consecutive sentences, at least ``least_sentences`` of them,
 with ``least_words`` words or more; one starts at each sentence that has such a run.
 Spans are hashed over their lower-cased words.  All spans meet in one global join on
@@ -23,6 +26,7 @@ with ``__span_``.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,13 +43,35 @@ from .worker import keep
 #: Everything up to an end of sentence with the white space after it, or the rest.
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s)[^.!?\n]*)*(?:[.!?]+\s+|\n\s*|[.!?]*$)")
 WORD = re.compile(r"\S+")
+PLACED = re.compile(r"(\S+)\s*")
+#: Words of a sentence that stays whole, and of the parts of a longer one.
+LONG, LEAST_PART, MOST_PART = 16, 6, 32
 #: What a streamed row says: its sentences go, or it leads a hash at a partition's edge.
 REPEAT, LEAD = 1, 2
 
 
+def _cut(sentence: str) -> list[str]:
+    """A long sentence in parts of LEAST_PART words or more that end at chosen words."""
+    parts, begin, n = [], 0, 0
+    for m in PLACED.finditer(sentence):
+        n += 1
+        if n >= LEAST_PART and (n >= MOST_PART or zlib.crc32(m[1].lower().encode("utf-8", "replace")) % 8 == 0):
+            parts.append(sentence[begin : m.end()])
+            begin, n = m.end(), 0
+    if begin < len(sentence) or not parts:
+        parts.append(sentence[begin:])
+    return parts
+
+
 def sentences(text: str) -> list[str]:
     """Parts of a text, which joined are the text again."""
-    return [m for m in SENTENCE.findall(text) if m] or [""]
+    out: list[str] = []
+    for s in SENTENCE.findall(text):
+        if len(s) > 2 * LONG and len(s.split()) > LONG:
+            out += _cut(s)
+        elif s:
+            out.append(s)
+    return out or [""]
 
 
 def spans(text: str, least_sentences: int, least_words: int) -> Iterator[tuple[int, int, bytes]]:
