@@ -55,6 +55,16 @@ def test_equals_brute_force(spark, keep, min_docs):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_a_leading_document_with_nothing_else_loses_nothing(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for n in (2, 3, 30):
+            rows = [(i, "only line") for i in range(n)]
+            assert sorted(run(spark, rows, 2, "first")) == [(i, 1, int(i > 0), "" if i else "only line") for i in range(n)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_repeated_ids_count_once(spark):
     rows = [(1, "a\nb"), (1, "a\nb"), (1, "a\nc"), (2, "a")]
     assert sorted(x[3] for x in run(spark, rows, 3)) == ["a", "a\nb", "a\nb", "a\nc"]

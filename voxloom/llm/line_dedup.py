@@ -191,7 +191,7 @@ def line_bitmaps(
     first = leads.groupBy("h1", "h2").agg(F.min(F.struct("id", "th")).alias("first"))
     later = leads.join(first, ["h1", "h2"]).where(~F.struct("id", "th").eqNullSafe(F.col("first"))).select("id", "th", "at")
     dropped = marks.where(F.col("state") == DROP).select("id", "th", "at").unionAll(edge.where(F.col("state") == UNDECIDED).select("id", "th", "at")).unionAll(later)
-    positions = dropped.groupBy("id", "th").agg(F.flatten(F.collect_list("at")).alias("at"))  # a document's own lines
+    positions = dropped.where(F.size("at") > 0).groupBy("id", "th").agg(F.flatten(F.collect_list("at")).alias("at"))  # a document's own lines
     return positions.select("id", "th", F.size("at").cast("long").alias("n_dropped"), _bitmap("at").alias("bitmap"))
 
 
