@@ -68,6 +68,20 @@ def test_paired_dataset(spark):
         paired_dataset(s, scope="nothing")
 
 
+def test_datasets(spark, tmp_path):
+    from voxloom.sources import datasets
+
+    made = datasets.segments_from_rows(spark, [{"audio_id": "r_seg_0", "text": "a", "channel": "x", "duration_sec": 1.5}, {"audio_id": "r_seg_1", "channel": "y", "codes": [1], "duration_sec": 2.0}])
+    assert [r.codes for r in made.orderBy("audio_id").collect()] == [[], [1]]
+    r = datasets.recording_metrics(made).first()
+    assert (r.recording, r.segments, r.seconds, r.encoded) == ("r", 2, 3.5, 1) and datasets.stamped(made).first().added_at
+    datasets.write_segments(made, f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").where("channel = 'x'").count() == 1
+    for k in range(2):
+        made.write.parquet(f"{tmp_path}/parts/rec{k}")
+    assert datasets.read_parts(spark, f"{tmp_path}/parts").count() == 4
+
+
 def test_storage(spark, tmp_path):
     a, b = f"file://{tmp_path}/a", f"file://{tmp_path}/b"
     for k in range(4):

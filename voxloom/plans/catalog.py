@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import audio, text, tokens, vocab
 from ..operators import pairs, tables
 from ..sources.transcripts import parse_transcripts, valid_segments
+from ..streaming.chunks import chunk_bounds
 from ..streaming.ingest import drained
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -480,6 +481,18 @@ def stereo_to_mono(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(mixed, lambda x: F.round(x, 6)).alias("mono"), audio.duration_sec(F.col("embedding"), 16000).alias("duration"))
 
 
+@query(
+    """WITH d AS (SELECT doc_id, n_chars AS n, doc_id % 40 AS r, unnest(range(0, n_chars // 25 + 1)) AS k FROM documents),
+       f AS (SELECT doc_id, k, r + k * 25 AS done FROM d WHERE n - r - k * 25 >= 30)
+       SELECT doc_id, k::BIGINT AS k, greatest(done - 51, 0)::BIGINT AS start, (done + 30)::BIGINT AS stop, ((done - greatest(done - 51, 0)) * 480)::BIGINT AS first,
+         ((done - greatest(done - 51, 0)) * 480 + 12960)::BIGINT AS last FROM f"""
+)
+def stream_chunk_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as characters."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.inline(chunk_bounds(F.col("n_chars"), F.col("doc_id") % 40)))
+
+
 # Order, limits and unions.
 
 

@@ -14,7 +14,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 Decoder = Callable[[np.ndarray], np.ndarray]
@@ -36,6 +37,24 @@ class Chunking:
         return self.chunk * self.hop
 
 
+def chunk_bounds(tokens: Column, reference: Column, sizes: Chunking | None = None) -> Column:
+    """What each chunk that a stream of so many tokens (with the reference's
+    before them) has fired decodes: its number, the tokens ``start`` to ``stop``, and the
+    samples ``first`` to ``last`` of their sound that it keeps."""
+    s = sizes or Chunking()
+    fired = F.floor((tokens - reference - s.chunk - s.forward) / s.chunk).cast("int") + 1
+
+    def bounds(k: Column) -> Column:
+        done = (reference + k * s.chunk).cast("long")
+        start = F.greatest(done - s.back - s.overlap, F.lit(0).cast("long"))
+        # A chunk fires with the last token it waits for, so the overlap after it is not there yet.
+        stop = done + s.chunk + s.forward
+        first = (done - start) * s.hop
+        return F.struct(k.cast("long").alias("k"), start.alias("start"), stop.alias("stop"), first.alias("first"), (first + (s.chunk + 2 * s.overlap) * s.hop).alias("last"))
+
+    return F.when(fired > 0, F.transform(F.sequence(F.lit(0), fired - 1), bounds)).otherwise(F.array().cast("array<struct<k:bigint,start:bigint,stop:bigint,first:bigint,last:bigint>>"))
+
+
 def ramp(n: int) -> np.ndarray:
     """The falling weights of n samples."""
     return 1 - np.arange(1, n + 1) / (n + 1)
