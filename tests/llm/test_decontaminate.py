@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 
 from voxloom.llm import catalog
-from voxloom.llm.decontaminate import RADIUS, Benchmark, find_leaks
+from voxloom.llm.decontaminate import RADIUS, Benchmark, find_leaks, without_leaks
 from voxloom.llm.tables import documents, table
 
 
@@ -65,6 +65,8 @@ def test_slices_give_the_same(spark):
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     one, many = (sorted((r.id, sorted(m.item for m in r.matches)) for r in find_leaks(d, b, max_bytes=n).collect()) for n in (10**9, 1500))
     assert one == many
+    clean = {i for i, m in one if not m}
+    assert {r.doc_id for r in without_leaks(d, b, max_bytes=1500).collect()} == clean == {r.doc_id for r in without_leaks(d, b).collect()}
 
 
 def test_blocks_miss_no_fingerprint_within_the_radius():

@@ -15,9 +15,9 @@ the radius of 38 loses some five in a million windows that lie just at the thres
 A window without any shingle of the benchmark has similarity 0; its fingerprint is
 not computed.
 
-Texts stay where they are: one pass, no shuffle.  The benchmark travels to the
-executors in slices of at most ``max_bytes`` of text, checked before, so what a task
-holds does not grow with it.
+Texts stay where they are, without a shuffle: one pass for each four slices of the
+benchmark.  A slice has about ``max_bytes`` of text, by a count made before, so what a
+task holds does not grow with the benchmark.
 
 Cases: null and empty texts are clean; null, empty and wordless items match nothing.
 A text shorter than an item is one window.  Repeated rows get equal results, repeated
@@ -40,13 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .storage import Scratch
 from .worker import keep
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 BLOCKS, BLOCK_BITS, RADIUS = 8, 16, 38
-#: Items that share one table of block values.
-GROUP = 256
+#: Items that share one table of block values; slices of the benchmark that are searched in one pass.
+GROUP, SLICES = 256, 4
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
@@ -194,7 +195,7 @@ class Benchmark:
 
 def benchmark_of(items: list[tuple[object, str | None]]) -> Benchmark:
     """One prepared benchmark for each slice in a worker process."""
-    return keep("decontaminate", hashlib.md5(repr(items).encode()).hexdigest(), lambda: Benchmark(items), most=4)
+    return keep("decontaminate", hashlib.md5(repr(items).encode()).hexdigest(), lambda: Benchmark(items), most=SLICES)
 
 
 def _matches(text: Column, items: list, threshold: float, kind: T.DataType) -> Column:
@@ -214,31 +215,41 @@ def _matches(text: Column, items: list, threshold: float, kind: T.DataType) -> C
     return F.arrow_udf(run, T.ArrayType(match))(text)
 
 
-def leaks(
-    text: Column, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", threshold: float = 0.8, max_bytes: int = 4_000_000
-) -> Column:
-    """Array of (item, similarity, word) of a text column; word is the first of the item's best window."""
+def _rounds(benchmark: DataFrame, item_col: str, item_text: str, max_bytes: int) -> Iterator[tuple[list[list], bool]]:
+    """(slices of items, whether they are the last), SLICES of about ``max_bytes`` of text at a time.
+
+    The slices' number comes from a count, so the driver and a task hold one round's."""
     own = F.coalesce(F.col(item_text).cast("string"), F.lit(""))
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length(own) + 64), F.lit(0))).first()[0]
-    slices = 1 + size // max_bytes
-    kind = benchmark.schema[item_col].dataType
-    sliced = benchmark.select(F.col(item_col).alias("item"), own.alias("text"), F.pmod(F.xxhash64(own, F.col(item_col)), F.lit(slices)).alias("slice"))
-    text, found = F.coalesce(text.cast("string"), F.lit("")), []
-    for k in range(slices):
-        # About max_bytes of text, by the count above.
-        items = [(r.item, r.text) for r in sliced.where(F.col("slice") == k).select("item", "text").collect()]
-        found.append(_matches(text, sorted(items, key=lambda x: (str(x[0]), x[1])), threshold, kind))
-    return F.concat(*found)
+    total = 1 + size // max_bytes
+    sliced = benchmark.select(F.col(item_col).alias("item"), own.alias("text"), F.pmod(F.xxhash64(own, F.col(item_col)), F.lit(total)).alias("slice"))
+    for at in range(0, total, SLICES):
+        rows = sliced.where(F.col("slice").between(at, at + SLICES - 1)).collect()
+        slices = [sorted(((r.item, r.text) for r in rows if r.slice == k), key=lambda x: (str(x[0]), x[1])) for k in range(at, min(at + SLICES, total))]
+        yield slices, at + SLICES >= total
 
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text: str = "text", threshold: float = 0.8, max_bytes: int = 4_000_000,
 ) -> DataFrame:
-    """(id, matches) of each row; see :func:`leaks`."""
-    return docs.select(F.col(id_col).alias("id"), leaks(F.col(text_col), benchmark, item_col, item_text, threshold, max_bytes).alias("matches"))
-
-
-def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """(id, matches) of each row; a match is (item, similarity, word), word the first of the item's best window."""
+    scratch, kind = Scratch(docs.sparkSession, "leaks"), benchmark.schema[item_col].dataType
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.lit(None).alias("matches"))
+    for number, (slices, last) in enumerate(_rounds(benchmark, item_col, item_text, max_bytes)):
+        found = [_matches(F.col("text"), items, threshold, kind) for items in slices]
+        rows = rows.withColumn("matches", F.concat(*([F.col("matches")] if number else []), *found))
+        if not last:
+            rows = scratch.save(rows)
+    return rows.select("id", "matches")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.8, max_bytes: int = 4_000_000) -> DataFrame:
     """The rows of ``docs`` whose text matches no item."""
-    return docs.where(F.size(leaks(F.col(text_col), benchmark, threshold=threshold)) == 0)
+    scratch, kind = Scratch(docs.sparkSession, "leaks"), benchmark.schema["item_id"].dataType
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    for slices, last in _rounds(benchmark, "item_id", "text", max_bytes):
+        docs = docs.where(F.size(F.concat(*[_matches(text, items, threshold, kind) for items in slices])) == 0)
+        if not last:
+            docs = scratch.save(docs)
+    return docs
