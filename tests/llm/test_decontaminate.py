@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 
 from voxloom.llm import catalog
-from voxloom.llm.decontaminate import RADIUS, Benchmark, find_leaks, without_leaks
+from voxloom.llm.decontaminate import RADIUS, Benchmark, find_leaks, lanes, occurrences, without_leaks
 from voxloom.llm.tables import documents, table
 
 
@@ -60,6 +60,37 @@ def test_equals_brute_force(spark):
     assert sum(map(bool, want.values())) > 15
 
 
+def test_long_items_with_replaced_words_equal_brute_force():
+    rng = random.Random(11)
+    known = [f"k{i}" for i in range(400)]
+    text = lambda n: [rng.choice(known) for _ in range(n)]
+    found = 0
+    for n, spots, run, by in [(50, 1, 1, None), (55, 1, 1, None), (59, 1, 1, None), (100, 2, 1, None), (200, 4, 1, None), (100, 1, 6, "zz"), (200, 1, 17, "zz"), (200, 1, 17, "k1")]:
+        for case in range(12):
+            item = text(n)
+            changed = list(item)
+            for k in range(spots):
+                at = n * (k + 1) // (spots + 1) - run // 2
+                changed[at : at + run] = [by or f"new{case}x{k}"] * run
+            doc = " ".join(text(20) + changed + [f"u{case}x{k}" for k in range(20)])
+            items = [("own", " ".join(item)), ("other", " ".join(text(n)))]
+            want = brute(doc, items)
+            assert {i: round(s, 9) for i, s, _ in Benchmark(items).matches([doc], 0.8)[0]} == want, (n, spots, run, by)
+            found += bool(want)
+    assert found == 96
+
+
+def test_window_sums_are_those_of_each_window_alone():
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 4, 60).astype(np.uint64)
+    ending, beginning = occurrences(codes, 12)
+    total = np.concatenate([np.zeros((1, 128), int), np.cumsum(lanes(codes, ending), 0)])
+    gone = np.concatenate([np.zeros((1, 128), int), np.cumsum(lanes(codes, beginning), 0)])
+    for s in range(49):
+        alone = codes[s : s + 12]
+        assert (total[s + 12] - gone[s] == lanes(alone, occurrences(alone, 12)[0]).sum(0)).all()
+
+
 def test_slices_give_the_same(spark):
     docs, items = corpus(random.Random(5), 20, 40)
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")

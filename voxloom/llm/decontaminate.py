@@ -2,7 +2,9 @@
 
 Words are runs of word characters, lower-cased; shingles are five words (all words
 of a shorter item).  A window has as many words as the item it is held against.
-Its 128-bit SimHash sums a +1/-1 vector for each shingle, as often as it occurs.
+Its 128-bit SimHash sums a +1/-1 vector for each occurrence of a shingle in the window:
+the first, second and so on have vectors of their own, so what replaces a word, be it
+unknown words or one word again and again, adds independent votes.
 
 Items are found by multi-index Hamming search: 128 bits are eight blocks of 16, and
 fingerprints within ``RADIUS`` bits agree in some block but for RADIUS // 8 bits, so a
@@ -74,8 +76,21 @@ def shingle_codes(ids: np.ndarray, width: int) -> np.ndarray:
     return np.where(known, _mixed(code, width), np.uint64(0))
 
 
-def lanes(codes: np.ndarray) -> np.ndarray:
-    """(shingles, 128) of +1 and -1."""
+def occurrences(codes: np.ndarray, per: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often each place's code occurs in the ``per`` places that end there, and in those that begin there."""
+    n = len(codes)
+    code = np.unique(codes, return_inverse=True)[1].reshape(-1) * (n + 1)
+    places = np.arange(n)
+    keys = np.sort(code + places)
+    before = keys.searchsorted(code + places)
+    ending = before - keys.searchsorted(code + np.maximum(places - per + 1, 0)) + 1
+    beginning = keys.searchsorted(code + np.minimum(places + per, n)) - before
+    return ending, beginning
+
+
+def lanes(codes: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """(shingles, 128) of +1 and -1, for the given occurrence of each."""
+    codes = codes + number.astype(np.uint64) * np.uint64(_MIX[2])
     words = np.stack([_mixed(codes, 101), _mixed(codes, 202)], 1)
     bits = np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(codes), 16), axis=1, bitorder="little")
     return bits.astype(np.int16) * 2 - 1
@@ -104,13 +119,14 @@ class Benchmark:
             ids = np.array([self.words.setdefault(w, len(self.words) + 1) for w in words])
             width = min(SHINGLE, len(words))
             codes = shingle_codes(ids, width)
-            number = len(self.names)
+            item = len(self.names)
             self.names.append(name)
             self.sizes.append(len(words))
             self.counts.append(Counter(codes.tolist()))
-            prints.append(fingerprints(lanes(codes).sum(0, dtype=np.int64)[None])[0])
+            number = occurrences(codes, len(codes))[0]
+            prints.append(fingerprints(lanes(codes, number).sum(0, dtype=np.int64)[None])[0])
             for c in self.counts[-1]:
-                self.holders.setdefault(width, {}).setdefault(c, []).append(number)
+                self.holders.setdefault(width, {}).setdefault(c, []).append(item)
         self.prints = np.array(prints, np.uint16).reshape(-1, BLOCKS)
         self.codes = {w: np.array(sorted(x), np.uint64) for w, x in self.holders.items()}
         self.by_size = np.array(self.sizes)
@@ -163,9 +179,11 @@ class Benchmark:
                     some = part[at : at + 4096]
                     low = some[0]
                     span = codes[low : some[-1] + per]
-                    total = np.zeros((len(span) + 1, 128), np.int32)
-                    np.cumsum(lanes(span), axis=0, out=total[1:])
-                    prints = fingerprints(total[some - low + per] - total[some - low])
+                    # From a window to the next, the last occurrence of its first shingle goes.
+                    total, gone = (np.zeros((len(span) + 1, 128), np.int32) for _ in range(2))
+                    for sums, number in zip((total, gone), occurrences(span, per), strict=True):
+                        np.cumsum(lanes(span, number), axis=0, out=sums[1:])
+                    prints = fingerprints(total[some - low + per] - gone[some - low])
                     for w, k in self.within(prints):
                         same = (self.by_size[k] == size)
                         for start, item in zip(some[w[same]].tolist(), k[same].tolist(), strict=True):
