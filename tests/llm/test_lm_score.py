@@ -1,3 +1,4 @@
+import inspect
 import math
 import re
 import zlib
@@ -82,6 +83,24 @@ def test_training_learns_a_sequence():
     assert m.score(texts).sum() > 0.5 * before
 
 
+def test_every_word_gives_a_gradient():
+    m, learned = RecurrentModel(np.full(10, 100.0), 1.0), []
+    gradients = m.window_gradients
+    m.window_gradients = lambda given, target, live, h: (learned.append(int(live.sum())), gradients(given, target, live, h))[1]
+    texts = [np.arange(n).astype(np.int32) % 10 for n in (900, 5, 16, 40, 3, 70, 0, 33)]
+    assert m.fit(texts) == sum(learned) == sum(map(len, texts))
+    assert inspect.signature(language_scores).parameters["every"].default == 1
+
+
+def test_one_long_text_does_not_outweigh_the_others():
+    rng = np.random.default_rng(0)
+    texts = [(np.arange(60) + k).astype(np.int32) % 10 for k in range(2000)]
+    m = RecurrentModel(np.full(20, 100.0), 1.0)
+    before = m.score(texts[:50]).sum()
+    m.fit([*texts, rng.integers(10, 20, 20_000).astype(np.int32)])
+    assert m.score(texts[:50]).sum() > 0.025 * before
+
+
 ROWS = [(i, " ".join(("der die das und" if i % 2 else "the of and to").split()[(i * k) % 4] + ("" if k % 5 else f"x{i * k}") for k in range(40))) for i in range(120)] + [
     (900, None), (901, ""), (902, "ÄÖ ÄÖ"), (903, "unseen words only"), (None, "The END\n"),
 ]

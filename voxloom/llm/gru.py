@@ -213,28 +213,47 @@ class RecurrentModel:
         shares *= weight[:, None]
         g["class"], g["class_b"] = flat.T @ shares, shares.sum(0)
         back = shares @ p["class"].T
-        for c, at in self._by_class(aim):
-            logits = np.exp(flat[at] @ p["word"][c] + p["word_b"][c])
-            logits /= logits.sum(1, keepdims=True)
-            own = aim[at] % WIDTH
-            loss -= float(np.log(np.maximum(logits[np.arange(len(at)), own], 1e-30)) @ weight[at])
-            logits[np.arange(len(at)), own] -= 1
-            logits *= weight[at][:, None]
-            g["word"][c], g["word_b"][c] = flat[at].T @ logits, logits.sum(0)
-            back[at] += logits @ p["word"][c].T
+        groups = list(self._by_class(aim))
+        if groups:
+            # Rows side by side by class, so that only the products go class by class.
+            at = np.concatenate([rows for _, rows in groups])
+            ends = np.cumsum([len(rows) for _, rows in groups])
+            parts = [(c, slice(end - len(rows), end)) for (c, rows), end in zip(groups, ends.tolist(), strict=True)]
+            sorted_states, own, numbers = flat[at], aim[at] % WIDTH, np.arange(len(at))
+            logits, moved = np.empty((len(at), WIDTH), flat.dtype), np.empty_like(sorted_states)
+            for c, part in parts:
+                np.matmul(sorted_states[part], p["word"][c], out=logits[part])
+                logits[part] += p["word_b"][c]
+            np.exp(logits, out=logits)
+            total = logits @ np.ones(WIDTH, logits.dtype)
+            loss -= float(np.log(np.maximum(logits[numbers, own] / total, 1e-30)) @ weight[at])
+            logits *= (weight[at] / total)[:, None]
+            logits[numbers, own] -= weight[at]
+            for c, part in parts:
+                np.matmul(sorted_states[part].T, logits[part], out=g["word"][c])
+                np.matmul(logits[part], p["word"][c].T, out=moved[part])
+            g["word_b"][[c for c, _ in parts]] = np.add.reduceat(logits, [part.start for _, part in parts], axis=0)
+            back[at] += moved
         back = back.reshape(steps, lanes, HIDDEN)
         d = np.zeros((lanes, HIDDEN), np.float32)
-        gates = np.zeros_like(x)
+        # What does not depend on the later steps, for all steps at once.
+        befores, zs, rs, ns, us = (np.stack([c[k] for c in cache]) for k in (0, 2, 3, 4, 5))
+        rest = 1 - zs
+        by_n, by_z, by_r = rest * (1 - ns * ns), (befores - ns) * zs * rest, us * rs * (1 - rs)
+        gates, by_state = np.empty_like(x), np.empty_like(x)
+        back_state = np.ascontiguousarray(p["state"].T)
         for t in reversed(range(steps)):
-            before, fresh, z, r, n, u = cache[t]
             d = d + back[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * u * r * (1 - r)
-            gates[t] = np.concatenate([dz, dr, dn], 1)
-            du = np.concatenate([dz, dr, dn * r], 1)
-            g["state"] += before.T @ du
-            d = (d * z + du @ p["state"].T) * fresh
+            own, du = gates[t], by_state[t]
+            dn = np.multiply(d, by_n[t], out=own[:, 2 * HIDDEN :])
+            np.multiply(d, by_z[t], out=own[:, :HIDDEN])
+            np.multiply(dn, by_r[t], out=own[:, HIDDEN : 2 * HIDDEN])
+            du[:, : 2 * HIDDEN] = own[:, : 2 * HIDDEN]
+            np.multiply(dn, rs[t], out=du[:, 2 * HIDDEN :])
+            d *= zs[t]
+            d += du @ back_state
+            d *= cache[t][1]
+        g["state"] = befores.reshape(-1, HIDDEN).T @ by_state.reshape(-1, 3 * HIDDEN)
         rows = gates.reshape(-1, 3 * HIDDEN)
         words = given.reshape(-1)
         g["input"] = p["embed"][words].T @ rows
@@ -245,9 +264,11 @@ class RecurrentModel:
         g["embed"][words[order][begin]] = np.add.reduceat(moved[order], begin, axis=0)
         return g, first, loss
 
-    def fit(self, texts: list[np.ndarray], every: int = 4, rate: float = 0.01, lanes: int = 128, optimiser: dict | None = None) -> int:
+    def fit(self, texts: list[np.ndarray], every: int = 1, rate: float = 0.01, lanes: int = 128, optimiser: dict | None = None) -> int:
         """One pass over whole texts; the state runs through all windows, and each
-        ``every``-th is backpropagated.  Returns the number of words passed."""
+        ``every``-th is backpropagated.  Windows of few lanes, where only long texts go
+        on, are gathered to as many words as a whole one has before a step is made, so
+        that each word weighs the same.  Returns the number of words passed."""
         words = sum(map(len, texts))
         if not words:
             return 0
@@ -255,6 +276,7 @@ class RecurrentModel:
         laid = Lanes(texts, lanes, self.start)
         kept = optimiser if optimiser is not None else {}
         h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+        full, gathered, seen = len(laid.lengths) * WINDOW, None, 0
         for number, begin in enumerate(range(0, len(laid.active), WINDOW)):
             end = min(begin + WINDOW, len(laid.active))
             if number % every:
@@ -267,9 +289,28 @@ class RecurrentModel:
                 continue
             given, target, live = laid.window(begin, end)
             g, h, _ = self.window_gradients(given, target, live, h[: given.shape[1]])
-            self._update(g, rate, kept)
+            n = int(live.sum())
+            if gathered is None and 2 * n > full:
+                self._update(g, rate * min(1.0, n / full), kept)
+                continue
+            for k, x in g.items():
+                x *= np.float32(n)
+                if gathered is not None:
+                    x += gathered[k]
+            gathered, seen = g, seen + n
+            if seen >= full:
+                self._step_of(gathered, seen, rate, kept)
+                gathered, seen = None, 0
+        if gathered is not None:
+            self._step_of(gathered, seen, rate * seen / full, kept)
         return words
 
+    def _step_of(self, gathered: dict[str, np.ndarray], words: int, rate: float, kept: dict) -> None:
+        """A step along the mean of gradients that are summed over ``words`` words."""
+        for x in gathered.values():
+            x *= np.float32(1 / words)
+        self._update(gathered, rate, kept)
+
     def _update(self, g: dict[str, np.ndarray], rate: float, kept: dict) -> None:
         """Adam with gradients clipped to a norm of 1."""
         norm = float(np.sqrt(sum(float(np.vdot(x, x)) for x in g.values())))

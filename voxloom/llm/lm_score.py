@@ -145,7 +145,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 def language_scores(
     docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", known: int = 4096, head: int = 262_144,
-    every: int = 4, rate: float = 0.01, seed: int = 1,
+    every: int = 1, rate: float = 0.01, seed: int = 1,
 ) -> DataFrame:
     """(id, in_training, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
