@@ -6,7 +6,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from voxloom.llm import catalog
+from voxloom.llm import catalog, sentencepiece_stream
 from voxloom.llm.sentencepiece_stream import Lattice, StreamingEncoder, Vocabulary, decode_documents, encode_documents
 from voxloom.llm.tables import documents
 
@@ -53,6 +53,52 @@ def test_streaming_in_parts_is_the_same_and_bounded():
         assert most <= 8 * LATTICE.longest
 
 
+def test_ordinary_documents_commit_as_they_are_read(spark):
+    texts = [r.text for r in documents(spark, "/root/testdata/sf0.01").collect() if r.text]
+    early = total = 0
+    for text in texts:
+        stream, out, most = StreamingEncoder(LATTICE), [], 0
+        for word in text.split(" "):
+            out += stream.feed(word + " ")
+            most = max(most, stream.held)
+        early += len(out)
+        total += len(out) + len(stream.finish())
+        # At a space, what is undecided is the spaces and what a line's other end leaves.
+        assert most <= LATTICE.longest, text
+    assert early > 0.99 * total
+
+
+def test_commits_come_from_the_search_not_from_the_memory(monkeypatch):
+    """The same documents without any remembered step, and with the paths' meeting counted."""
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(4, 9))) for _ in range(700))
+    fresh = Lattice(VOCABULARY)
+    search, meetings = fresh._search, []
+
+    def counted(state, part):
+        ids, after = search(state, part)
+        meetings.append(bool(ids))
+        return ids, after
+
+    monkeypatch.setattr(fresh, "_search", counted)
+    first = fresh.encode(text)
+    assert sum(meetings) > 600  # boundaries at which all paths met, in one pass over the text
+    assert np.frombuffer(first, "<i4").tolist() == LIBRARY.encode(text)
+    done = len(meetings)
+    assert fresh.encode(text) == first and len(meetings) == done  # now by remembered steps alone
+
+
+def test_memory_of_steps_is_bounded(monkeypatch):
+    monkeypatch.setattr(sentencepiece_stream, "MEMO", 50)
+    monkeypatch.setattr(sentencepiece_stream, "COMPARED", 100)
+    small = Lattice(VOCABULARY)
+    rng = random.Random(9)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice("abcdefgh  \n.") for _ in range(9)) for _ in range(20))
+        assert np.frombuffer(small.encode(text), "<i4").tolist() == LIBRARY.encode(text)
+        assert sum(len(s.young) + len(s.old) for s in small.states.values()) <= 102
+
+
 def test_documents_equal_the_library(spark):
     d = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in documents(spark, d).collect()}

@@ -8,14 +8,18 @@ merging by rank gives, because a merge that crosses a boundary would already sho
 in the pair around it.  So the ids equal those of the SentencePiece library for its
 BPE models, while the search reads the text once from left to right.
 
-Pieces have a longest length L, hence only the last L nodes can be extended.  The
-encoder holds them with their backpointers, follows the surviving paths back, and
-commits ids as soon as all of them pass one boundary; what is before it is dropped.
-Memory is bounded by that window, not by the text.
-
-Spans between places where no piece can cross (before a space that ends a word, and
-around characters that occur in no longer piece) are encoded once and remembered in
-two generations of bounded size.
+Pieces have a longest length L, hence only nodes among the last L can be extended, and of
+these only the ones from which the text read so far is the beginning of some piece.  These
+live nodes are the window.  Whenever the backpointer paths of all of them pass one
+boundary, the ids before it are committed and what lies before it is dropped; in ordinary
+text that is at each space and each character that occurs in no longer piece.  Where paths
+do not meet (long runs of one character) the undecided steps stay, as one id each.
+
+Texts are fed whole to that search, a word with the space after it at a time.  The state
+between two steps (live nodes, their undecided paths, the piece before the boundary) is
+interned, and the search remembers which ids a word commits from a state and which state
+it leads to, in two generations of bounded size.  A remembered step gives what the search
+would give, so texts run through the same states either way.
 
 Cases: null and empty texts have no ids and decode to the empty text.  Characters
 outside the vocabulary become byte pieces, or the unknown id where there are none.
@@ -40,8 +44,12 @@ from pyspark.sql import types as T
 from .worker import keep
 
 SPACE = "▁"
-#: Spans remembered by a worker in each of two generations.
-MEMO = 250_000
+#: A noncharacter, which stands before the first character and is in no piece.
+OUTSIDE = "\uffff"
+#: Steps remembered by a worker in each of two generations, and the longest such step.
+MEMO, LONGEST_STEP = 250_000, 64
+#: Pairs of pieces whose merging is remembered.
+COMPARED = 400_000
 
 
 @dataclass(frozen=True)
@@ -81,31 +89,52 @@ class Vocabulary:
         return hashlib.md5(repr((self.pieces, self.scores)).encode()).hexdigest()
 
 
+class State:
+    """The search between two steps: the characters after the last boundary, for each node
+    the piece that ends there (None for an unknown character) and where that starts, and
+    the piece before the boundary.  ``young`` and ``old`` are the steps that are remembered."""
+
+    __slots__ = ("text", "last", "start", "context", "rest", "young", "old")
+
+    def __init__(self, text: str, last: list[str | None], start: list[int], context: str | None, rest: bytes):
+        self.text, self.last, self.start, self.context = text, last, start, context
+        self.rest = rest  # what a text that ends here still gives
+        self.young: dict[str, tuple[bytes, State]] = {}
+        self.old: dict[str, tuple[bytes, State]] = {}
+
+
 class Lattice:
-    """What a worker derives from a vocabulary once."""
+    """What a worker derives from a vocabulary once, and the search's states."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.ids = {vocabulary.pieces[i]: i for i in vocabulary.normal}
+        self.id_bytes = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
         self.rank = {p: vocabulary.scores[i] for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids), default=1)
-        # Pieces by their characters from the last to the first; the key "" holds the piece that ends there.
-        self.suffixes: dict = {}
+        # Pieces by their characters from the last to the first: (children, the piece that starts
+        # here, whether each piece may come before it).
+        root: dict = {}
         for piece in self.ids:
-            node = self.suffixes
+            node = root
             for c in reversed(piece):
                 node = node.setdefault(c, {})
             node[""] = piece
-        self.compatible: dict[tuple[str, str], bool] = {}
+        self.suffixes = self._compact(root)[0]
+        # What a node's text must be for a piece to extend it.
+        self.beginnings = {p[:n] for p in self.ids for n in range(1, len(p))}
+        self.compared = 0
         longer = [p for p in self.ids if len(p) > 1]
+        self.joined = {a + b for p in longer for a, b in zip(p, p[1:], strict=False)}
+        self.joining = {pair[0] for pair in self.joined}
         inside = {c for p in longer for c in p}
         # No piece crosses these characters, so paths meet on both sides of them.
-        self.alone = "".join(c for c in map(chr, range(1, 128)) if c not in inside and c != " ")
-        words = all(SPACE not in p.lstrip(SPACE) for p in longer)
-        lone = re.escape(self.alone)
-        self.span = re.compile(rf" *[^ {lone}]+| +|[{lone}]" if lone else r" *[^ ]+| +") if words else re.compile(r"(?s).+")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        lone = re.escape("".join(c for c in map(chr, range(1, 128)) if c not in inside and c != " "))
+        ends = rf"(?: +|[{lone}])" if lone else "(?: +)"
+        self.step = re.compile(rf"[^ {lone}]+{ends}?|{ends}")
+        self.states: dict[tuple, State] = {}
+        self.remembered = 0
+        self.begin = self._state("", [None], [0], None)
         self.piece_bytes = [p.replace(SPACE, " ").encode() for p in vocabulary.pieces]
         for b, i in enumerate(vocabulary.byte_ids):
             self.piece_bytes[i] = bytes([b])
@@ -129,42 +158,129 @@ class Lattice:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def may_follow(self, a: str | None, b: str) -> bool:
-        pair = (a or "", b)
-        known = self.compatible.get(pair)
-        if known is None:
-            if len(self.compatible) > 400_000:
-                self.compatible.clear()
-            known = self.compatible[pair] = self.merged(pair[0] + b) == ([a, b] if a else [b])
-        return known
-
-    def unknown_ids(self, char: str) -> list[int]:
+    def _compact(self, node: dict) -> tuple[dict, str | None, dict[str | None, bool]]:
+        return {c: self._compact(x) for c, x in node.items() if c}, node.get(""), {}
+
+    def may_follow(self, before: str | None, piece: str, known: dict[str | None, bool]) -> bool:
+        """Whether merging leaves both pieces as they are; remembered with the piece."""
+        self.compared += 1
+        if self.compared > COMPARED:  # forget all, from the pieces that start the search
+            self.compared, todo = 0, [*self.suffixes.values()]
+            while todo:
+                children, _, pairs = todo.pop()
+                pairs.clear()
+                todo += children.values()
+        known[before] = good = self.merged((before or "") + piece) == ([before, piece] if before else [piece])
+        return good
+
+    def unknown_bytes(self, char: str) -> bytes:
         own = self.vocabulary.byte_ids
-        return [own[b] for b in char.encode("utf-8", "replace")] if own else [self.vocabulary.unknown]
-
-    def span_ids(self, span: str) -> bytes:
-        """Ids of a span that no piece leaves, as little-endian int32."""
-        hit = self.young.get(span)
-        if hit is not None:
-            return hit
-        hit = self.old.pop(span, None)
+        ids = [own[b] for b in char.encode("utf-8", "replace")] if own else [self.vocabulary.unknown]
+        return b"".join(i.to_bytes(4, "little") for i in ids)
+
+    def _ids(self, text: str, last: list[str | None], start: list[int], end: int) -> bytes:
+        """The ids of the path to a node."""
+        path, ids, unknown = [], self.id_bytes, self.unknown_bytes
+        while end:
+            piece = last[end]
+            path.append(unknown(text[end - 1]) if piece is None else ids[piece])
+            end = start[end]
+        path.reverse()
+        return b"".join(path)
+
+    def _state(self, text: str, last: list[str | None], start: list[int], context: str | None) -> State:
+        key = (text, context, tuple(last), tuple(start))
+        found = self.states.get(key)
+        if found is None:
+            found = State(text, last, start, context, self._ids(text, last, start, len(text)))
+            if len(text) <= LONGEST_STEP:
+                self.states[key] = found
+        return found
+
+    def _search(self, state: State, part: str) -> tuple[bytes, State]:
+        """Extend the lattice by some characters; commit what the paths of all live nodes share."""
+        text, context = state.text + part.replace(" ", SPACE), state.context
+        last, start, suffixes, follow = list(state.last), list(state.start), self.suffixes, self.may_follow
+        ends, starts, chars = last.append, start.append, OUTSIDE + text
+        for end in range(len(state.text) + 1, len(text) + 1):
+            j, children = end, suffixes
+            while True:
+                node = children.get(chars[j])
+                if node is None:  # no piece: an unknown character
+                    ends(None)
+                    starts(end - 1)
+                    break
+                j -= 1
+                children, piece, known = node
+                if piece is not None:
+                    before = last[j] if j else context
+                    good = known.get(before)
+                    if good is None:
+                        good = follow(before, piece, known)
+                    if good:
+                        ends(piece)
+                        starts(j)
+                        break
+        # The live nodes: the last, and those of the last L whose text since then begins a piece.
+        n, p, live = len(text), len(text) - 1, {len(text)}
+        while p >= 0 and n - p < self.longest and (p == n - 1 or text[p : p + 2] in self.joined):
+            if text[p:] in self.beginnings:
+                live.add(p)
+            p -= 1
+        while len(live) > 1:
+            top = max(live)
+            live.discard(top)
+            live.add(start[top])
+        end = live.pop()
+        ids = self._ids(text, last, start, end)
+        if end:
+            context = last[end]
+            text, last, start = text[end:], [None, *last[end + 1 :]], [0, *(s - end for s in start[end + 1 :])]
+            # Live paths start at the boundary or after it; starts before it are of dead nodes.
+            start = [max(0, s) for s in start]
+        # What precedes the boundary matters only if some piece holds both characters around it.
+        if context and (context[-1] not in self.joining or (text and context[-1] + text[0] not in self.joined)):
+            context = None
+        return ids, self._state(text, last, start, context)
+
+    def advance(self, state: State, part: str) -> tuple[bytes, State]:
+        """(ids committed, next state) when a part of the text arrives in a state."""
+        if len(part) > LONGEST_STEP:
+            ids = []
+            for at in range(0, len(part), self.longest):
+                some, state = self._search(state, part[at : at + self.longest])
+                ids.append(some)
+            return b"".join(ids), state
+        hit = state.old.pop(part, None)
         if hit is None:
-            stream = StreamingEncoder(self, whole=False)
-            hit = np.array([*stream.feed(span), *stream.finish()], "<i4").tobytes()
-        if len(span) <= 64:
-            if len(self.young) >= MEMO:
-                self.old, self.young = self.young, {}
-            self.young[span] = hit
+            hit = self._search(state, part)
+        if self.remembered >= MEMO:
+            self.states = {k: s for k, s in self.states.items() if s.young or s is self.begin}
+            for s in self.states.values():
+                s.old, s.young = s.young, {}
+            self.remembered = 0
+        state.young[part] = hit
+        self.remembered += 1
         return hit
 
+    def feed(self, state: State, text: str) -> tuple[bytes, State]:
+        """(ids committed, next state) after more text, spaces as they are."""
+        out, advance = [], self.advance
+        for part in self.step.findall(text):
+            hit = state.young.get(part)
+            if hit is None:
+                hit = advance(state, part)
+            ids, state = hit
+            out.append(ids)
+        return b"".join(out), state
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, as little-endian int32."""
         if not text:
             return b""
         # A literal U+2581 is the same as a space to the model.
-        text = (" " if self.vocabulary.dummy_prefix else "") + text.replace(SPACE, " ")
-        get, ids = self.young.get, self.span_ids
-        return b"".join([get(s) or ids(s) for s in self.span.findall(text)])
+        ids, state = self.feed(self.begin, (" " if self.vocabulary.dummy_prefix else "") + text.replace(SPACE, " "))
+        return ids + state.rest
 
     def decode(self, ids: Iterable[int]) -> str:
         data = b"".join(map(self.piece_bytes.__getitem__, ids))
@@ -176,84 +292,26 @@ class Lattice:
 class StreamingEncoder:
     """Feed text in parts of any size; ids come out once no later text can change them."""
 
-    def __init__(self, lattice: Lattice, whole: bool = True):
+    def __init__(self, lattice: Lattice):
         self.lattice = lattice
-        self.text: list[str] = []  # characters since the last committed boundary
-        self.last: list[str | None] = [None]  # piece that ends at each node, None for an unknown character
-        self.start: list[int] = [0]  # the node where that piece starts
-        self.context: str | None = None  # piece before the boundary
-        self.pending = SPACE if whole and lattice.vocabulary.dummy_prefix else ""
+        self.state = lattice.begin
+        self.pending = " " if lattice.vocabulary.dummy_prefix else ""
 
     @property
     def held(self) -> int:
-        return len(self.text)
+        """Characters whose ids are not committed."""
+        return len(self.state.text)
 
     def feed(self, text: str) -> list[int]:
         if not text:
             return []
-        text, self.pending = (self.pending + text).replace(" ", SPACE), ""
-        out: list[int] = []
-        chars, last, start = self.text, self.last, self.start
-        suffixes, compatible, follow = self.lattice.suffixes, self.lattice.compatible, self.lattice.may_follow
-        limit = 4 * self.lattice.longest
-        for char in text:
-            chars.append(char)
-            end = j = len(chars)
-            node = suffixes
-            while j:
-                node = node.get(chars[j - 1])
-                if node is None:
-                    j = 0
-                    break
-                j -= 1
-                piece = node.get("")
-                if piece is not None:
-                    before = last[j] if j else self.context
-                    good = compatible.get((before or "", piece))
-                    if good or (good is None and follow(before, piece)):
-                        last.append(piece)
-                        start.append(j)
-                        break
-            if len(last) == end:  # no piece: an unknown character
-                last.append(None)
-                start.append(end - 1)
-            if end >= limit:
-                out += self._commit(self._meeting())
-                limit = len(chars) + 2 * self.lattice.longest
-                limit = max(limit, 4 * self.lattice.longest)
-        return out
+        ids, self.state = self.lattice.feed(self.state, self.pending + text.replace(SPACE, " "))
+        self.pending = ""
+        return np.frombuffer(ids, "<i4").tolist()
 
     def finish(self) -> list[int]:
-        return self._commit(len(self.text))
-
-    def _meeting(self) -> int:
-        """The last boundary that the paths of all nodes that can still grow pass."""
-        n = len(self.text)
-        live = set(range(max(0, n - self.lattice.longest + 1), n + 1))
-        while len(live) > 1:
-            top = max(live)
-            live.discard(top)
-            live.add(self.start[top])
-        return live.pop()
-
-    def _commit(self, end: int) -> list[int]:
-        path, at = [], end
-        while at:
-            path.append(at)
-            at = self.start[at]
-        out: list[int] = []
-        for at in reversed(path):
-            piece = self.last[at]
-            if piece is None:
-                out += self.lattice.unknown_ids(self.text[at - 1])
-            else:
-                out.append(self.lattice.ids[piece])
-        if end:
-            self.context = self.last[end]
-            del self.text[:end]
-            self.last[: end + 1] = [None]
-            self.start[:] = [0, *(s - end for s in self.start[end + 1 :])]
-        return out
+        rest, self.state = self.state.rest, self.lattice.begin
+        return np.frombuffer(rest, "<i4").tolist()
 
 
 def lattice_of(vocabulary: Vocabulary) -> Lattice:
