@@ -1,4 +1,3 @@
-import inspect
 import math
 import re
 import zlib
@@ -7,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from voxloom.llm import catalog
+from voxloom.llm import catalog, lm_score
 from voxloom.llm.gru import RecurrentModel
 from voxloom.llm.lm_score import language_scores
 from voxloom.llm.tables import documents
@@ -79,17 +78,30 @@ def test_training_learns_a_sequence():
     texts = [(np.arange(60) + k).astype(np.int32) % 10 for k in range(200)]
     before = m.score(texts).sum()
     for _ in range(4):
-        m.fit(texts, every=1, rate=0.02)
+        m.fit(texts, rate=0.02)
     assert m.score(texts).sum() > 0.5 * before
 
 
 def test_every_word_gives_a_gradient():
     m, learned = RecurrentModel(np.full(10, 100.0), 1.0), []
-    gradients = m.window_gradients
-    m.window_gradients = lambda given, target, live, h: (learned.append(int(live.sum())), gradients(given, target, live, h))[1]
+    output = m._output
+    m._output = lambda flat, aim, weight, g: (learned.append(int((weight > 0).sum())), output(flat, aim, weight, g))[1]
     texts = [np.arange(n).astype(np.int32) % 10 for n in (900, 5, 16, 40, 3, 70, 0, 33)]
     assert m.fit(texts) == sum(learned) == sum(map(len, texts))
-    assert inspect.signature(language_scores).parameters["every"].default == 1
+
+
+def test_gathered_windows_have_the_gradients_of_their_sum():
+    m, rng = small_model()
+    windows, alone, h = [], [], rng.standard_normal((4, 24)) * 0.3
+    for lanes in (4, 2):
+        given, target, live = rng.integers(0, 152, (5, lanes)), rng.integers(0, 151, (5, lanes)), np.ones((5, lanes), bool)
+        cache, states, last = m._forward(given, h[:lanes])
+        windows.append((given, target, live, cache, states))
+        alone.append((m.window_gradients(given, target, live, h[:lanes])[0], 5 * lanes))
+        h = last
+    both, _ = m.gradients(windows, 30)
+    for k, x in both.items():
+        assert x == pytest.approx(sum(g[k] * n for g, n in alone) / 30, abs=1e-6), k
 
 
 def test_one_long_text_does_not_outweigh_the_others():
@@ -110,7 +122,7 @@ ROWS = [(i, " ".join(("der die das und" if i % 2 else "the of and to").split()[(
 def test_base_equals_brute_force(spark, head, known):
     learned = [i is not None and i % 5 != 1 and i < 900 for i, _ in ROWS]
     docs = spark.createDataFrame([(*r, 5) for r in ROWS], "doc_id long, text string, score int").repartition(3)
-    got = language_scores(docs, (catalog.F.col("doc_id") % 5 != 1) & (catalog.F.col("doc_id") < 900), head=head, known=known, every=1)
+    got = language_scores(docs, (catalog.F.col("doc_id") % 5 != 1) & (catalog.F.col("doc_id") < 900), head=head, known=known)
     rows = {r.id: r for r in got.collect()}
     assert len(rows) == len(ROWS)
     for (i, t), y, want in zip(ROWS, learned, base(ROWS, learned)):
@@ -138,3 +150,23 @@ def test_query_beats_the_base_on_held_out_texts(spark):
         assert r.base_score == pytest.approx(want[3], rel=1e-9)
     held = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_the_layout_does_not_change_the_model(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "REPLICA_WORDS", 20_000)  # several replicas a round
+    docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text")
+    learned = catalog.fold(catalog.F.col("doc_id")) != 1
+    one, eight = ({r.id: r for r in language_scores(docs.repartition(n), learned).collect()} for n in (1, 8))
+    for k, r in one.items():
+        assert r.score == pytest.approx(eight[k].score, rel=1e-3)
+        assert r.base_score == pytest.approx(eight[k].base_score, rel=1e-9)
+    held = [r for r in one.values() if not r.in_training]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_long_texts(spark):
+    long = "le chat noir " * 10_000
+    docs = spark.createDataFrame([(1, long), (2, "le chat noir"), (3, "x" * 300_000), (4, long)], "doc_id long, text string")
+    rows = {r.id: r for r in language_scores(docs, catalog.F.col("doc_id") < 4).collect()}
+    assert rows[1].n_tokens == 30_001 and rows[4].n_known == 30_001 and rows[3].n_tokens == 2
+    assert rows[4].score == pytest.approx(rows[1].score, rel=1e-4) and rows[4].score > rows[4].base_score

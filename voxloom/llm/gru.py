@@ -118,6 +118,7 @@ class RecurrentModel:
     def _own_log(h: np.ndarray, weights: np.ndarray, own: np.ndarray) -> np.ndarray:
         """Log-softmax at ``own``; the last of the weights' rows is the bias, of h's columns 1."""
         logits = h @ weights
+        logits -= logits.max(1, keepdims=True)
         value = logits[np.arange(len(h)), own]
         np.exp(logits, out=logits)
         return value - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
@@ -125,6 +126,7 @@ class RecurrentModel:
     def _class_terms(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-probabilities of the targets' classes, and all classes' probabilities."""
         logits = h @ self.p["class"] + self.p["class_b"]
+        logits -= logits.max(1, keepdims=True)
         own = logits[np.arange(len(h)), self._class_of(target)]
         np.exp(logits, out=logits)
         total = logits @ np.ones(logits.shape[1], logits.dtype)
@@ -194,53 +196,63 @@ class RecurrentModel:
         flush()
         return total
 
-    def window_gradients(self, given: np.ndarray, target: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-        """Gradients of the mean loss of a (steps, lanes) window, the last state, the loss."""
-        p, (steps, lanes) = self.p, given.shape
-        x = p["embed"][given] @ p["input"] + p["gate_b"]
-        first, cache, states = h, [], []
-        for t in range(steps):
+    def _forward(self, given: np.ndarray, h: np.ndarray) -> tuple[list, np.ndarray, np.ndarray]:
+        """What the gates were at each step of a (steps, lanes) window, all states, the last."""
+        x = self.p["embed"][given] @ self.p["input"] + self.p["gate_b"]
+        cache, states = [], []
+        for t in range(len(given)):
             fresh = (given[t] != self.start)[:, None].astype(np.float32)
-            before = first * fresh
-            first, z, r, n, u = self._step(x[t], before)
+            before = h * fresh
+            h, z, r, n, u = self._step(x[t], before)
             cache.append((before, fresh, z, r, n, u))
-            states.append(first)
-        flat, aim, weight = np.concatenate(states), target.reshape(-1), (live.reshape(-1) / max(1, live.sum())).astype(np.float32)
-        g = {k: np.zeros_like(v) for k, v in p.items()}
+            states.append(h)
+        return cache, np.concatenate(states), h
+
+    def _output(self, flat: np.ndarray, aim: np.ndarray, weight: np.ndarray, g: dict[str, np.ndarray]) -> tuple[np.ndarray, float]:
+        """The states' gradients and the loss; adds the output layer's gradients to ``g``."""
+        p = self.p
         log_class, shares = self._class_terms(flat, aim)
         loss = -float(log_class @ weight)
         shares[np.arange(len(aim)), self._class_of(aim)] -= 1
         shares *= weight[:, None]
-        g["class"], g["class_b"] = flat.T @ shares, shares.sum(0)
+        g["class"] += flat.T @ shares
+        g["class_b"] += shares.sum(0)
         back = shares @ p["class"].T
         groups = list(self._by_class(aim))
-        if groups:
-            # Rows side by side by class, so that only the products go class by class.
-            at = np.concatenate([rows for _, rows in groups])
-            ends = np.cumsum([len(rows) for _, rows in groups])
-            parts = [(c, slice(end - len(rows), end)) for (c, rows), end in zip(groups, ends.tolist(), strict=True)]
-            sorted_states, own, numbers = flat[at], aim[at] % WIDTH, np.arange(len(at))
-            logits, moved = np.empty((len(at), WIDTH), flat.dtype), np.empty_like(sorted_states)
-            for c, part in parts:
-                np.matmul(sorted_states[part], p["word"][c], out=logits[part])
-                logits[part] += p["word_b"][c]
-            np.exp(logits, out=logits)
-            total = logits @ np.ones(WIDTH, logits.dtype)
-            loss -= float(np.log(np.maximum(logits[numbers, own] / total, 1e-30)) @ weight[at])
-            logits *= (weight[at] / total)[:, None]
-            logits[numbers, own] -= weight[at]
-            for c, part in parts:
-                np.matmul(sorted_states[part].T, logits[part], out=g["word"][c])
-                np.matmul(logits[part], p["word"][c].T, out=moved[part])
-            g["word_b"][[c for c, _ in parts]] = np.add.reduceat(logits, [part.start for _, part in parts], axis=0)
-            back[at] += moved
+        if not groups:
+            return back, loss
+        # Rows side by side by class, so that only the products go class by class.
+        at = np.concatenate([rows for _, rows in groups])
+        ends = np.cumsum([len(rows) for _, rows in groups])
+        parts = [(c, slice(end - len(rows), end)) for (c, rows), end in zip(groups, ends.tolist(), strict=True)]
+        sorted_states, own, numbers = flat[at], aim[at] % WIDTH, np.arange(len(at))
+        logits, moved = np.empty((len(at), WIDTH), flat.dtype), np.empty_like(sorted_states)
+        for c, part in parts:
+            np.matmul(sorted_states[part], p["word"][c], out=logits[part])
+            logits[part] += p["word_b"][c]
+        logits -= logits.max(1, keepdims=True)
+        np.exp(logits, out=logits)
+        total = logits @ np.ones(WIDTH, logits.dtype)
+        loss -= float(np.log(np.maximum(logits[numbers, own] / total, 1e-30)) @ weight[at])
+        logits *= (weight[at] / total)[:, None]
+        logits[numbers, own] -= weight[at]
+        for c, part in parts:
+            g["word"][c] += sorted_states[part].T @ logits[part]
+            np.matmul(logits[part], p["word"][c].T, out=moved[part])
+        g["word_b"][[c for c, _ in parts]] += np.add.reduceat(logits, [part.start for _, part in parts], axis=0)
+        back[at] += moved
+        return back, loss
+
+    def _backward(self, given: np.ndarray, cache: list, back: np.ndarray, g: dict[str, np.ndarray]) -> None:
+        """Adds the gradients of a window's gates and words to ``g``."""
+        p, (steps, lanes) = self.p, given.shape
         back = back.reshape(steps, lanes, HIDDEN)
         d = np.zeros((lanes, HIDDEN), np.float32)
         # What does not depend on the later steps, for all steps at once.
         befores, zs, rs, ns, us = (np.stack([c[k] for c in cache]) for k in (0, 2, 3, 4, 5))
         rest = 1 - zs
         by_n, by_z, by_r = rest * (1 - ns * ns), (befores - ns) * zs * rest, us * rs * (1 - rs)
-        gates, by_state = np.empty_like(x), np.empty_like(x)
+        gates, by_state = (np.empty((steps, lanes, 3 * HIDDEN), back.dtype) for _ in range(2))
         back_state = np.ascontiguousarray(p["state"].T)
         for t in reversed(range(steps)):
             d = d + back[t]
@@ -253,64 +265,59 @@ class RecurrentModel:
             d *= zs[t]
             d += du @ back_state
             d *= cache[t][1]
-        g["state"] = befores.reshape(-1, HIDDEN).T @ by_state.reshape(-1, 3 * HIDDEN)
+        g["state"] += befores.reshape(-1, HIDDEN).T @ by_state.reshape(-1, 3 * HIDDEN)
         rows = gates.reshape(-1, 3 * HIDDEN)
         words = given.reshape(-1)
-        g["input"] = p["embed"][words].T @ rows
-        g["gate_b"] = rows.sum(0)
+        g["input"] += p["embed"][words].T @ rows
+        g["gate_b"] += rows.sum(0)
         moved = rows @ p["input"].T
         order = np.argsort(words, kind="stable")
         begin = np.flatnonzero(np.r_[True, np.diff(words[order]) > 0])
-        g["embed"][words[order][begin]] = np.add.reduceat(moved[order], begin, axis=0)
-        return g, first, loss
-
-    def fit(self, texts: list[np.ndarray], every: int = 1, rate: float = 0.01, lanes: int = 128, optimiser: dict | None = None) -> int:
-        """One pass over whole texts; the state runs through all windows, and each
-        ``every``-th is backpropagated.  Windows of few lanes, where only long texts go
-        on, are gathered to as many words as a whole one has before a step is made, so
-        that each word weighs the same.  Returns the number of words passed."""
+        g["embed"][words[order][begin]] += np.add.reduceat(moved[order], begin, axis=0)
+
+    def gradients(self, windows: list[tuple], words: int) -> tuple[dict[str, np.ndarray], float]:
+        """Gradients and loss, both by word, of windows (given, target, live, cache, states) that
+        ran under the same weights: one pass of the output layer over all, then each window's own
+        backpropagation."""
+        g = {k: np.zeros_like(v) for k, v in self.p.items()}
+        weight = np.concatenate([live.reshape(-1) for _, _, live, _, _ in windows]).astype(np.float32) / np.float32(max(1, words))
+        back, loss = self._output(np.concatenate([s for *_, s in windows]), np.concatenate([t.reshape(-1) for _, t, _, _, _ in windows]), weight, g)
+        at = 0
+        for given, _, _, cache, states in windows:
+            self._backward(given, cache, back[at : at + len(states)], g)
+            at += len(states)
+        return g, loss
+
+    def window_gradients(self, given: np.ndarray, target: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
+        """Gradients of the mean loss of a (steps, lanes) window, the last state, the loss."""
+        cache, states, last = self._forward(given, h)
+        g, loss = self.gradients([(given, target, live, cache, states)], int(live.sum()))
+        return g, last, loss
+
+    def fit(self, texts: list[np.ndarray], rate: float = 0.01, lanes: int = 128, optimiser: dict | None = None) -> int:
+        """One pass over whole texts; the state runs through all windows, and each is
+        backpropagated.  Windows of few lanes, where only long texts go on, are gathered to
+        about as many words as a whole one has before a step is made, so that each word
+        weighs the same.  Returns the number of words passed."""
         words = sum(map(len, texts))
         if not words:
             return 0
-        lanes = int(max(8, min(lanes, words // (WINDOW * every * 100))))
+        lanes = int(max(8, min(lanes, words // (WINDOW * 100))))
         laid = Lanes(texts, lanes, self.start)
         kept = optimiser if optimiser is not None else {}
         h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
-        full, gathered, seen = len(laid.lengths) * WINDOW, None, 0
-        for number, begin in enumerate(range(0, len(laid.active), WINDOW)):
+        full, gathered, seen = len(laid.lengths) * WINDOW, [], 0
+        for begin in range(0, len(laid.active), WINDOW):
             end = min(begin + WINDOW, len(laid.active))
-            if number % every:
-                cells = slice(laid.offsets[begin], laid.offsets[end])
-                x = self.p["embed"].take(laid.given[cells], axis=0) @ self.p["input"] + self.p["gate_b"]
-                for t in range(begin, end):
-                    given = laid.given[laid.step(t)]
-                    own = x[laid.offsets[t] - laid.offsets[begin] :][: len(given)]
-                    h = self._step(own, self._begun(h[: len(given)], given))[0]
-                continue
             given, target, live = laid.window(begin, end)
-            g, h, _ = self.window_gradients(given, target, live, h[: given.shape[1]])
-            n = int(live.sum())
-            if gathered is None and 2 * n > full:
-                self._update(g, rate * min(1.0, n / full), kept)
-                continue
-            for k, x in g.items():
-                x *= np.float32(n)
-                if gathered is not None:
-                    x += gathered[k]
-            gathered, seen = g, seen + n
-            if seen >= full:
-                self._step_of(gathered, seen, rate, kept)
-                gathered, seen = None, 0
-        if gathered is not None:
-            self._step_of(gathered, seen, rate * seen / full, kept)
+            cache, states, h = self._forward(given, h[: given.shape[1]])
+            gathered.append((given, target, live, cache, states))
+            seen += int(live.sum())
+            if 4 * seen > 3 * full or end == len(laid.active):
+                self._update(self.gradients(gathered, seen)[0], rate * min(1.0, seen / full), kept)
+                gathered, seen = [], 0
         return words
 
-    def _step_of(self, gathered: dict[str, np.ndarray], words: int, rate: float, kept: dict) -> None:
-        """A step along the mean of gradients that are summed over ``words`` words."""
-        for x in gathered.values():
-            x *= np.float32(1 / words)
-        self._update(gathered, rate, kept)
-
     def _update(self, g: dict[str, np.ndarray], rate: float, kept: dict) -> None:
         """Adam with gradients clipped to a norm of 1."""
         norm = float(np.sqrt(sum(float(np.vdot(x, x)) for x in g.values())))

@@ -4,9 +4,14 @@
 2. The head: as many of the most frequent words as ``head`` allows, found from a
    histogram of counts, is the bounded table that tasks hold.  Its first ``known``
    words, and one token for any other word, are the network's vocabulary.
-3. Training: each task takes the current weights over all its training texts, state
-   carried through every window, and returns its weights; these are averaged by their
-   words in a tree whose fan-in is bounded.  One pass covers all training texts.
+3. Training: texts are dealt to rounds and replicas by a hash of id and text.  In each of
+   ``rounds`` rounds every replica takes the common weights over its texts, state carried
+   through every window, and returns its weights; their mean by words, summed in a tree
+   whose fan-in is bounded, is what the next round starts from.  All rounds together are
+   one pass over all training texts.  The number of replicas comes from the corpus' words
+   (``REPLICA_WORDS`` each and round), never from partitions or machines, and a replica's
+   texts are in the order of their hashes, so the model is the same however the table
+   lies but for rounding.
 4. Scoring: each task runs whole texts and gives, per text, the sums over words of the
    head, and its other words with how often they occur; those meet the counts by a
    shuffle join on the word, so no table of all words is held anywhere.
@@ -16,8 +21,8 @@ its smoothed share among those.  The model so gives a distribution over the same
 as the base, with one place for all unseen ones.
 
 Cases: null and empty texts are one end token.  Null ids are in fold crc32('') and are
-scored.  Repeated rows are learned from as often as they occur and get equal scores but
-for rounding.  Without training texts all words are unseen: base and score are 0.  An
+scored.  Repeated rows are learned from as often as they occur, by one replica, and get
+equal scores but for rounding.  Without training texts all words are unseen: base and score are 0.  An
 empty table gives no rows.  Only the id and the text are read.
 """
 
@@ -26,7 +31,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -43,7 +48,10 @@ from .worker import keep
 END = b"\n"
 #: Words that a task counts before it hands them on, and that it scores together.
 COUNTED, TOGETHER = 400_000, 4_000_000
-FAN_IN = 32
+FAN_IN = 8
+#: Training words of a replica in a round, and the most replicas of a round; beyond that each
+#: takes more words.
+REPLICA_WORDS, MOST_REPLICAS = 500_000, 1024
 LN10 = math.log(10)
 
 
@@ -129,23 +137,23 @@ def _numbers(head: list[bytes], key: str) -> dict[bytes, int]:
     return keep("lm", key, lambda: {w: k for k, w in enumerate(head)})
 
 
-def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows, as many together as hold about TOGETHER words."""
+def _grouped(batches: Iterator[pa.RecordBatch], key: Callable[[tuple], object] = lambda row: None) -> Iterator[list[tuple]]:
+    """Rows of one key, as many together as hold about TOGETHER words."""
     rows, size = [], 0
     for batch in batches:
         for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            rows.append(row)
-            size += len(row[-1]) // 6 + 1
-            if size >= TOGETHER:
+            if rows and (size >= TOGETHER or key(row) != key(rows[0])):
                 yield rows
                 rows, size = [], 0
+            rows.append(row)
+            size += len(row[-1]) // 6 + 1
     if rows:
         yield rows
 
 
 def language_scores(
     docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", known: int = 4096, head: int = 262_144,
-    every: int = 1, rate: float = 0.01, seed: int = 1,
+    rounds: int = 4, rate: float = 0.02, lanes: int = 256, seed: int = 1,
 ) -> DataFrame:
     """(id, in_training, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
@@ -166,18 +174,34 @@ def language_scores(
     start = RecurrentModel(smooth[:size], other, seed)
     small_counts = smooth[:size]
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = _numbers(vocabulary[:size], key + "learn").get
-        model, kept, total = RecurrentModel(small_counts, other, seed), {}, 0
-        for rows in _grouped(batches):
-            numbers = [np.array(list(map(get, words_of(r[-1]), repeat(size))), np.int32) for r in rows]
-            total += model.fit(numbers, every, rate, optimiser=kept)
-        if total:
-            yield _replica_batch(TaskContext.get().partitionId(), total, model.weights().astype(np.float64) * total)
-
-    mean = averaged(scratch.save(texts.where("learn").select("data").mapInArrow(learn, "place long, words double, weights binary")), scratch) if size else None
-    if mean is not None:
-        start.load(mean)
+    replicas = int(min(MOST_REPLICAS, max(1, -(-n_words // (rounds * REPLICA_WORDS)))))
+    lot = F.xxhash64(F.col("id").cast("string"), "data")
+    place = F.pmod(lot, F.lit(replicas * rounds))
+    dealt = texts.where("learn").select((place % rounds).alias("round"), F.floor(place / rounds).alias("place"), lot.alias("lot"), "data")
+
+    def learner(weights: np.ndarray):
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            get = _numbers(vocabulary[:size], key + "learn").get
+            place, model, kept, total = None, None, {}, 0
+            for rows in _grouped(batches, lambda row: row[0]):
+                if rows[0][0] != place:
+                    if total:
+                        yield _replica_batch(place, total, model.weights().astype(np.float64) * total)
+                    place, model, kept, total = rows[0][0], RecurrentModel(small_counts, other, seed), {}, 0
+                    model.load(weights)
+                numbers = [np.array(list(map(get, words_of(r[-1]), repeat(size))), np.int32) for r in rows]
+                total += model.fit(numbers, rate, lanes, kept)
+            if total:
+                yield _replica_batch(place, total, model.weights().astype(np.float64) * total)
+
+        return learn
+
+    # Four times as many partitions as replicas, so that few tasks get two; an empty one costs little.
+    for number in range(rounds if size else 0):
+        mine = dealt.where(F.col("round") == number).select("place", "lot", "data").repartition(4 * replicas, "place").sortWithinPartitions("place", "lot")
+        mean = averaged(scratch.save(mine.drop("lot").mapInArrow(learner(start.weights()), "place long, words double, weights binary")), scratch)
+        if mean is not None:
+            start.load(mean)
     weights = start.weights()
     log_counts = np.log10(smooth)
     log_whole, log_other = math.log10(whole), math.log10(max(other, 1e-12))
