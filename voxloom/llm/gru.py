@@ -71,6 +71,12 @@ class Lanes:
         return given, target, live
 
 
+def _shift(logits: np.ndarray) -> None:
+    """Subtract each row's largest where exponentials could overflow; shares stay the same."""
+    if logits.size and logits.max() > 60:
+        logits -= logits.max(1, keepdims=True)
+
+
 class RecurrentModel:
     def __init__(self, counts: np.ndarray, other: float, seed: int = 1):
         """``counts``: smoothed counts of the numbered words; ``other``: that of all others."""
@@ -118,7 +124,7 @@ class RecurrentModel:
     def _own_log(h: np.ndarray, weights: np.ndarray, own: np.ndarray) -> np.ndarray:
         """Log-softmax at ``own``; the last of the weights' rows is the bias, of h's columns 1."""
         logits = h @ weights
-        logits -= logits.max(1, keepdims=True)
+        _shift(logits)
         value = logits[np.arange(len(h)), own]
         np.exp(logits, out=logits)
         return value - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
@@ -126,7 +132,7 @@ class RecurrentModel:
     def _class_terms(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-probabilities of the targets' classes, and all classes' probabilities."""
         logits = h @ self.p["class"] + self.p["class_b"]
-        logits -= logits.max(1, keepdims=True)
+        _shift(logits)
         own = logits[np.arange(len(h)), self._class_of(target)]
         np.exp(logits, out=logits)
         total = logits @ np.ones(logits.shape[1], logits.dtype)
@@ -230,7 +236,7 @@ class RecurrentModel:
         for c, part in parts:
             np.matmul(sorted_states[part], p["word"][c], out=logits[part])
             logits[part] += p["word_b"][c]
-        logits -= logits.max(1, keepdims=True)
+        _shift(logits)
         np.exp(logits, out=logits)
         total = logits @ np.ones(WIDTH, logits.dtype)
         loss -= float(np.log(np.maximum(logits[numbers, own] / total, 1e-30)) @ weight[at])

@@ -51,7 +51,7 @@ COUNTED, TOGETHER = 400_000, 4_000_000
 FAN_IN = 8
 #: Training words of a replica in a round, and the most replicas of a round; beyond that each
 #: takes more words.
-REPLICA_WORDS, MOST_REPLICAS = 500_000, 1024
+REPLICA_WORDS, MOST_REPLICAS = 2_000_000, 1024
 LN10 = math.log(10)
 
 
