@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import pyarrow as pa
 import pytest
@@ -29,10 +30,55 @@ def test_long_texts_split_fast():
     assert len(list(spans("a b. " * 50_000, 2, 12))) > 40_000
 
 
+def split(text):
+    """Sentences once more, character by character; more than 48 words without an end are cut."""
+    out, now, i = [], "", 0
+    while i < len(text):
+        j = i
+        while j < len(text) and text[j] in ".!?":
+            j += 1
+        ends = text[i] == "\n" or (j > i and j < len(text) and text[j].isspace())
+        j = max(j, i + 1)
+        while ends and j < len(text) and text[j].isspace():
+            j += 1
+        now, i = now + text[i:j], j
+        if ends:
+            out.append(now)
+            now = ""
+    parts = []
+    for s in [*out, now] if now or not out else out:
+        words = re.findall(r"\S+\s*", s)
+        if len(words) <= 48:
+            parts.append(s)
+            continue
+        words[0] = re.match(r"\s*", s)[0] + words[0]
+        now = []
+        for w in words:
+            now.append(w)
+            if len(now) >= 6 and (len(now) >= 32 or zlib.crc32(w.strip().lower().encode()) % 8 == 0):
+                parts.append("".join(now))
+                now = []
+        if now:
+            parts.append("".join(now))
+    return parts
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["one ", "Two. ", "v1.2 ", "end!\n", "word " * 60, "why? ", "x\n\ny "]), max_size=8).map("".join))
+def test_sentences_equal_a_plain_splitter(text):
+    assert sentences(text) == split(text)
+
+
+def test_sentences_of_prose_stay_whole():
+    text = " ".join(f"w{k}" for k in range(48)) + ". " + " ".join(f"v{k}" for k in range(30)) + "."
+    assert len(sentences(text)) == 2
+    assert len(sentences("u " * 200)) > 2
+
+
 def brute(rows, least_sentences, least_words):
     seen, places = {}, []
     for i, t in rows:
-        s = sentences(t or "")
+        s = split(t or "")
         words = [re.findall(r"\S+", x.lower()) for x in s]
         for a in range(len(s)):
             if not words[a]:
@@ -44,7 +90,7 @@ def brute(rows, least_sentences, least_words):
                     break
     out = {}
     for i, t in rows:
-        s, gone = sentences(t or ""), set()
+        s, gone = split(t or ""), set()
         words = [re.findall(r"\S+", x.lower()) for x in s]
         for j, a, b in places:
             if j == i and min(seen[tuple(w for part in words[a:b] for w in part)]) != (i, a):

@@ -1,10 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
-A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end.  One of
-more than LONG words is cut after words that their own hash chooses, so a passage without
-full stops, or one that begins within another sentence, has the same parts wherever it
-occurs; "sentence" below means such a part.  A
-span is the shortest run of consecutive sentences, at least ``least_sentences`` of them,
+A sentence ends after ``.``, ``!`` or ``?`` before white space, or at a line's end, and is
+removed whole.  Only a run of more than LONG words without any such end, which is no
+sentence of prose, is cut: after words that their own hash chooses, so a passage without
+full stops has the same parts wherever it occurs.  A span is the shortest run of consecutive sentences, at least ``least_sentences`` of them,
 with ``least_words`` words or more; one starts at each sentence that has such a run.
 Spans are hashed over their lower-cased words.  All spans meet in one global join on
 the hash, carried out as a merge: they are range-partitioned by hash, document and
@@ -44,8 +43,8 @@ from .worker import keep
 SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?]+(?!\s)[^.!?\n]*)*(?:[.!?]+\s+|\n\s*|[.!?]*$)")
 WORD = re.compile(r"\S+")
 PLACED = re.compile(r"(\S+)\s*")
-#: Words of a sentence that stays whole, and of the parts of a longer one.
-LONG, LEAST_PART, MOST_PART = 16, 6, 32
+#: Words of a sentence that stays whole, and of the parts of a longer run without an end.
+LONG, LEAST_PART, MOST_PART = 48, 6, 32
 #: What a streamed row says: its sentences go, or it leads a hash at a partition's edge.
 REPEAT, LEAD = 1, 2
 
