@@ -12,13 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import audio, text, tokens, vocab
 from ..operators import pairs, tables
 from ..sources.transcripts import parse_transcripts, valid_segments
-from ..streaming.chunks import chunk_bounds
+from ..operators.models import stub_decoder
+from ..sources.work import work_folder
+from ..streaming.chunks import Chunking, chunk_bounds, decode_stream
 from ..streaming.ingest import drained
+from .training_rows import rows_v1, rows_v2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -493,6 +497,107 @@ def stream_chunk_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.inline(chunk_bounds(F.col("n_chars"), F.col("doc_id") % 40)))
 
 
+# Training rows and streamed decoding, with plug-ins that SQL can follow.
+
+
+def _spelled(text_: str) -> list[int]:
+    """Stand-in for a tokenizer: an id for each character."""
+    return [ord(c) for c in text_]
+
+
+def _levels(audio_) -> tuple[list[int], list[int], list[int]]:
+    """Stand-in for a layered codec: seven samples to a frame, a level for each."""
+    n = len(audio_) // 7
+    levels = [int((float(x) + 1) * 3 // 1) for x in audio_]
+    return levels[:n], levels[n : 3 * n], levels[3 * n : 7 * n]
+
+
+def _pairs_to_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """embeddings as pairs: the first four frames are the reference's, the others the target's."""
+    v, w = F.col("vec_id"), F.col("label")
+    e = table(spark, sf_dir, "embeddings").join(_codes(spark, sf_dir), "vec_id")
+    sides = {"ref": (v, 1, 28), "target": (w, 29, 35)}
+    return e.select(
+        "vec_id",
+        F.when(v % 11 == 0, "").otherwise(F.concat(F.lit("Take  "), v.cast("string"))).alias("ref_text"),
+        F.concat(F.lit("Say "), w.cast("string")).alias("target_text"),
+        *[F.when(x % 3 == 0, "male").when(x % 3 == 1, "female").otherwise("robot").alias(f"{s}_gender") for s, (x, _, _) in sides.items()],
+        *[F.when(x % 2 == 0, "MSA").otherwise("Nowhere").alias(f"{s}_dialect") for s, (x, _, _) in sides.items()],
+        *[F.when(x % 2 == 0, "formal").otherwise("angry").alias(f"{s}_tone") for s, (x, _, _) in sides.items()],
+        *[F.slice("codes", a, n).alias(f"{s}_codes") for s, (_, a, n) in sides.items()],
+        *[F.struct(F.slice("embedding", a, n).alias("array")).alias(f"{s}_audio") for s, (_, a, n) in sides.items()],
+    )
+
+
+def _condition_sql(x: str, phones: str, left: str, between: str, right: str) -> str:
+    return f"""'{left}' || CASE WHEN {x} % 3 = 0 THEN 'male' WHEN {x} % 3 = 1 THEN 'female' ELSE 'unknown' END || '{between}' || CASE WHEN {x} % 2 = 0 THEN 'MSA' ELSE 'unknown' END
+         || '{between}' || CASE WHEN {x} % 2 = 0 THEN 'formal' ELSE 'unknown' END || '{right}' || {phones}"""
+
+
+_SPOKEN = f"""(SELECT e.vec_id, label, codes, embedding, CASE WHEN e.vec_id % 11 = 0 THEN '' ELSE 'take ' || e.vec_id END AS rp, 'say ' || label AS tp
+  FROM embeddings e JOIN {_CODES} c ON e.vec_id = c.vec_id)"""
+_SPEECH = "list_aggregate(list_transform(codes[{}:{}], lambda c: '<|speech_' || c || '|>'), 'string_agg', '')"
+
+
+@query(
+    f"""WITH a AS (SELECT vec_id, rp, {_SPEECH.format(1, 28)} AS r, {_SPEECH.format(29, 63)} AS t,
+         {_condition_sql('vec_id', 'rp', '<|', '|><|', '|> ')} || ' ' || {_condition_sql('label', 'tp', '<|', '|><|', '|> ')} AS said FROM {_SPOKEN}),
+       i AS (SELECT vec_id, rp, length(r) AS n, list_transform(string_split('<|TEXT_PROMPT_START|>' || said || '<|TEXT_PROMPT_END|><|SPEECH_GENERATION_START|>' || r || t
+         || '<|SPEECH_GENERATION_END|>', ''), lambda c: unicode(c)::BIGINT) AS ids FROM a),
+       v AS (SELECT *, rp <> '' AND len(ids) < 960 AS valid FROM i)
+       SELECT vec_id, CASE WHEN valid THEN ids ELSE [] END AS input_ids,
+         CASE WHEN valid THEN list_transform(range(1, len(ids) + 1), lambda k: CASE WHEN k <= list_position(ids, 71) + n THEN -100 ELSE ids[k] END) ELSE [] END AS labels, valid FROM v"""
+)
+def training_rows_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chat layout; the marker is the first capital G, of the speech's start."""
+    return rows_v1(_pairs_to_train(spark, sf_dir), lambda: str.lower, lambda: _spelled, ord("G"), 960, ["vec_id"])
+
+
+def _frames_sql(array: str, n: int) -> str:
+    """Seven-token frames of a level list whose layers lie one after another, without repeats."""
+    woven = f"""list_transform(range(0, {n}), lambda i: [{array}[i + 1] + 128266, {array}[{n} + 2 * i + 1] + 132362, {array}[{3 * n} + 4 * i + 1] + 136458,
+      {array}[{3 * n} + 4 * i + 2] + 140554, {array}[{n} + 2 * i + 2] + 144650, {array}[{3 * n} + 4 * i + 3] + 148746, {array}[{3 * n} + 4 * i + 4] + 152842])"""
+    return f"flatten(list_transform(list_filter(range(0, {n}), lambda i: i = 0 OR {array}[i + 1] <> {array}[i]), lambda i: ({woven})[i + 1]))"
+
+
+@query(
+    f"""WITH a AS (SELECT vec_id, rp, codes[1:28] AS f, codes[29:63] AS g,
+         {_condition_sql('vec_id', 'rp', '[', '|', '] ')} || ' | ' || {_condition_sql('label', 'tp', '[', '|', '] ')} AS said FROM {_SPOKEN}),
+       b AS (SELECT vec_id, rp, list_transform(string_split(said, ''), lambda c: unicode(c)::BIGINT) AS words, {_frames_sql('f', 4)} AS r, {_frames_sql('g', 5)} AS t FROM a),
+       i AS (SELECT *, [128259, 128000] || words || [128009, 128260, 128261, 128257] || r || t || [128258, 128262] AS ids FROM b),
+       v AS (SELECT *, rp <> '' AND len(ids) < 110 AS valid FROM i)
+       SELECT vec_id, CASE WHEN valid THEN ids ELSE [] END AS input_ids,
+         CASE WHEN valid THEN list_transform(range(1, len(ids) + 1), lambda k: CASE WHEN k <= len(words) + 6 + len(r) THEN -100 ELSE ids[k] END) ELSE [] END AS labels, valid FROM v"""
+)
+def training_rows_framed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The framed layout, codes from the audio."""
+    return rows_v2(_pairs_to_train(spark, sf_dir), lambda: str.lower, lambda: _spelled, lambda: _levels, 110, ["vec_id"])
+
+
+@query(
+    """WITH e AS (SELECT user_id, event_id % 100 AS token, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events),
+       g AS (SELECT *, ((n - 7) // 5 + 1) * 5 AS done FROM e WHERE n >= 7)
+       SELECT user_id::VARCHAR AS request, (CASE WHEN user_id % 2 = 0 THEN n + 1 ELSE done END * 4)::BIGINT AS n_samples,
+         CASE WHEN user_id % 2 = 1 THEN round(sum(CASE WHEN i < done THEN (token / 512.0::DOUBLE - 1) * 4 ELSE 0 END), 6) END AS total
+       FROM g GROUP BY user_id, n, done"""
+)
+def stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's events as tokens of a request; those of even users end, the rest wait for more.
+
+    The last chunk of a request begins one overlap earlier, so one token sounds twice, blended."""
+    sizes, base = Chunking(hop=4, chunk=5, forward=2, back=10, overlap=1), work_folder(spark)
+    e, own = table(spark, sf_dir, "events"), Window.partitionBy("user_id")
+    last = (F.col("user_id") % 2 == 0) & (F.col("event_id") == F.max("event_id").over(own))
+    e = e.withColumns({"last": last, "n": F.count("*").over(own)}).where("n >= 7")
+    e.select(F.col("user_id").cast("string").alias("request"), F.col("event_id").alias("seq"), (F.col("event_id") % 100).alias("token"), "last").write.parquet(f"{base}/in")
+    arriving = spark.readStream.schema("request string, seq long, token long, last boolean").parquet(f"{base}/in")
+    sound = decode_stream(arriving, lambda: stub_decoder(sizes.hop), sizes)
+    sound.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    given = spark.read.schema("request string, samples array<double>").parquet(f"{base}/out")
+    added = F.aggregate("samples", F.lit(0.0), lambda a, x: a + x)
+    return given.groupBy("request").agg(F.sum(F.size("samples")).alias("n_samples"), F.when(F.col("request").cast("long") % 2 == 1, F.round(F.sum(added), 6)).alias("total"))
+
+
 # Order, limits and unions.
 
 
