@@ -65,9 +65,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again."""
+    """All stages over documents, each written and read again; a copy goes once the next is written."""
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir))
+    for _, stage in STAGES:
+        before, docs = docs, scratch.save(stage(spark, docs, sf_dir))
+        scratch.drop(before)
     return docs
