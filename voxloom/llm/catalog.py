@@ -67,6 +67,27 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), (~F.col("in_training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+#: All shingles meet all, so this is for small tables.
+OP5_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(generate_series(1, len(w) - 3), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3]) END) AS shingle
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS inter
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY x, y),
+links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * inter >= 80 * (a.n + b.n - inter)),
+reach AS (SELECT doc_id, doc_id AS other FROM words UNION SELECT r.doc_id, y FROM reach r JOIN links ON x = r.other)
+SELECT r.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(other)::BIGINT AS component_id, r.doc_id = min(other) AS kept
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(documents(spark, sf_dir), size=4, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
@@ -140,4 +161,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
+    "op5_near_dedup": OP5_SQL,
 }
