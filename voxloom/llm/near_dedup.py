@@ -305,6 +305,9 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "d
     Rows that share an id are one document, and stay or go together."""
     scratch = Scratch(docs.sparkSession, "near")
     found = near_duplicates(docs.select(id_col, text_col), size, percent, id_col, text_col)
-    gone = scratch.save(found.where(~F.col("kept")).select(F.col("id").alias("__near_id")).distinct())
+    own = "__near_id"
+    while own in docs.columns:
+        own += "_"
+    gone = scratch.save(found.where(~F.col("kept")).select(F.col("id").alias(own)).distinct())
     gone = F.broadcast(gone) if gone.count() <= FEW_IDS else gone
-    return docs.join(gone, docs[id_col] == F.col("__near_id"), "left_anti")
+    return docs.join(gone, F.col(id_col) == F.col(own), "left_anti")

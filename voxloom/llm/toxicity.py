@@ -17,7 +17,7 @@ weights.  Scoring is one pass without a shuffle; the model is a dictionary of at
 most ``max_features`` entries.
 
 Cases: null and empty texts have no features and score the model's base rate.
-Null labels are left out; of several labels of one id the largest counts.  With
+Null labels are left out; of several labels of one id, or of equal texts, the largest counts.  With
 no labelled rows, or one class only, every text scores the smoothed base rate.
 Repeated rows get equal scores.  Null ids are scored and never learned from.  Only
 the named columns are read, so extra ones cannot clash.
@@ -206,9 +206,9 @@ def train(
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(label, [len(x) for x in found]), pa.int32()), flat], names=["label", "feature"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    sample = scratch.save(
-        docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(F.col("__label").alias("label"), text.alias("text")).dropDuplicates(["text"])
-    )
+    # Equal texts are one row, with the largest of their labels.
+    texts = docs.select(F.col(id_col).alias("__id"), text.alias("text"))
+    sample = scratch.save(texts.join(F.broadcast(chosen), "__id").groupBy("text").agg(F.max("__label").alias("label")).select("label", "text"))
     size, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     base = ToxicityModel(math.log((toxic + 0.5) / (size - toxic + 0.5)) if size else -2.2)
     if not toxic or toxic == size:
