@@ -3,7 +3,8 @@
 Lineage is cut by writing Parquet into the folder named by
 ``spark.checkpoint.dir`` and reading it again, so a lost executor costs a
 re-read and never a recomputation of what came before.  Only where the setting
-is absent (tests, notebooks) a folder of our own is used.
+is absent and the master is local (tests, notebooks) a folder of our own is used; on a
+cluster without the setting a call fails, since executors would write to their own disks.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_root:
         _own_root[app] = "file://" + tempfile.mkdtemp(prefix="voxloom-")
