@@ -1,8 +1,9 @@
 """Token ids packed into fixed-length rows, as binary matrices.
 
 Texts are encoded by a public byte-level BPE vocabulary and cut into pieces of at most
-``length`` ids, so no id is lost.  Pieces are dealt to shards by a hash of where they
-come from; the number of shards follows from the corpus' bytes, since a text has no
+``length`` ids, so no id is lost.  Pieces are dealt to shards by a hash of id
+and text, so the rows are the same however the table lies (equal rows, which may change
+places, are spread by the number of times that a task has met them); the number of shards follows from the corpus' bytes, since a text has no
 more ids than bytes, so a shard has a bounded number of ids whatever the corpus holds.
 Within a shard, pieces stream in decreasing length to best-fit-decreasing packing: a
 segment tree over remaining capacities gives the fullest row that still has room.  At
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ from .worker import keep
 
 #: Sequences in a block.
 BLOCK = 64
+#: Rows whose copies a task counts at a time.
+COPIES = 50_000
 
 
 @dataclass(frozen=True)
@@ -116,15 +119,20 @@ def pieces(docs: DataFrame, vocabulary: ByteVocabulary, length: int, shards: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = vocabulary.encoding().encode_ordinary
-        # The row's place in its input split tells repeated rows apart, the same in every attempt.
-        seen = TaskContext.get().partitionId() << 33
+        # Copies of a row are numbered, so that many of them are not one shard's.
+        met: dict[tuple, int] = {}
         for whole in batches:
             for begin in range(0, whole.num_rows, 500):
                 batch = whole.slice(begin, 500)
                 row, number, n, data, place = [], [], [], [], []
-                for r, text in enumerate(batch.column(1).to_pylist()):
+                for r, (name, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                     ids = np.array(encode(text), "<u4")
-                    seen += 1
+                    own = (name, xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")))
+                    copy = met.get(own, 0)
+                    if len(met) >= COPIES:
+                        met.clear()
+                    met[own] = copy + 1
+                    seen = xxhash.xxh3_64_intdigest(repr((*own, copy)).encode()) >> 1
                     for k in range(0, len(ids), length):
                         row.append(r)
                         number.append(k // length)
