@@ -23,7 +23,10 @@ def brute(text, items, threshold=0.8):
         k = min(5, len(own))
         grams = lambda w: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))  # noqa: B023, E731
         b, best = grams(own), 0.0
-        for s in range(max(1, len(words) - len(own) + 1)):
+        # A window without a shingle of the item has similarity 0.
+        last = max(0, len(words) - len(own))
+        hits = [i for i in range(len(words) - k + 1) if tuple(words[i : i + k]) in b]
+        for s in sorted({min(max(0, s), last) for i in hits for s in range(i - len(own) + k, i + 1)}):
             a = grams(words[s : s + len(own)])
             both = sum((a & b).values())
             if both:
@@ -120,11 +123,20 @@ def test_repeated_rows_and_empty_tables(spark):
 
 
 def test_query_equals_brute_force(spark):
-    d = "/root/testdata/sf0.001"
+    d = "/root/testdata/sf0.01"
     items = [(r.item_id, r.text) for r in table(spark, d, "benchmark").collect()]
     rows = {r.doc_id: r for r in catalog.op10_decontaminate(spark, d).collect()}
-    short = [(r.doc_id, r.text) for r in documents(spark, d).collect() if len(r.text) < 6000]
-    assert len(short) > 100
-    for i, t in short:
+    texts = [(r.doc_id, r.text) for r in documents(spark, d).collect()]
+    assert len(texts) == len(rows) == 1000
+    for i, t in texts:
         want = brute(t, items)
         assert rows[i].item_ids == sorted(want) and rows[i].contaminated == bool(want), i
+        assert rows[i].similarity == max(want.values(), default=0.0) or abs(rows[i].similarity - max(want.values())) < 1e-8
+
+
+def test_very_long_texts(spark):
+    item = " ".join(f"q{k}" for k in range(60))
+    filler = " ".join(f"w{k % 5000}" for k in range(200_000))
+    docs = spark.createDataFrame([(1, f"{filler} {item} {filler}"), (2, filler), (3, "y" * 1_000_000)], "doc_id long, text string")
+    got = {r.id: [(m.item, round(m.similarity, 9), m.word) for m in r.matches] for r in find_leaks(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
+    assert got == {1: [(7, 1.0, 200_000)], 2: [], 3: []}

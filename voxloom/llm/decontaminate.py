@@ -19,7 +19,9 @@ not computed.
 
 Texts stay where they are, without a shuffle: one pass for each four slices of the
 benchmark.  A slice has about ``max_bytes`` of text, by a count made before, so what a
-task holds does not grow with the benchmark.
+task holds does not grow with the benchmark.  Where there are several passes, each writes
+the ids and matches of the rows that match something, never texts, and a join on id and
+text hash puts them together.
 
 Cases: null and empty texts are clean; null, empty and wordless items match nothing.
 A text shorter than an item is one window.  Repeated rows get equal results, repeated
@@ -29,6 +31,7 @@ ids and texts are read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import re
@@ -253,21 +256,40 @@ def find_leaks(
 ) -> DataFrame:
     """(id, matches) of each row; a match is (item, similarity, word), word the first of the item's best window."""
     scratch, kind = Scratch(docs.sparkSession, "leaks"), benchmark.schema[item_col].dataType
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.lit(None).alias("matches"))
-    for number, (slices, last) in enumerate(_rounds(benchmark, item_col, item_text, max_bytes)):
-        found = [_matches(F.col("text"), items, threshold, kind) for items in slices]
-        rows = rows.withColumn("matches", F.concat(*([F.col("matches")] if number else []), *found))
-        if not last:
-            rows = scratch.save(rows)
-    return rows.select("id", "matches")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    found: list[DataFrame] = []
+    for slices, last in _rounds(benchmark, item_col, item_text, max_bytes):
+        own = F.concat(*[_matches(F.col("text"), items, threshold, kind) for items in slices])
+        if last and not found:
+            return rows.select("id", own.alias("matches"))
+        found.append(_hits(rows.select("id", F.xxhash64("text").alias("hash"), own.alias("matches")), scratch))
+    # Equal rows have equal matches and become one; those of one row come from several rounds.
+    all_found = functools.reduce(DataFrame.unionAll, found).distinct().groupBy("id", "hash").agg(F.flatten(F.collect_list("matches")).alias("matches"))
+    hit = all_found.select(F.col("id").alias("hit_id"), F.col("hash").alias("hit_hash"), "matches")
+    keys = rows.select("id", F.xxhash64("text").alias("hash"))
+    none = F.array().cast(all_found.schema["matches"].dataType)
+    return keys.join(hit, keys["id"].eqNullSafe(hit["hit_id"]) & (keys["hash"] == hit["hit_hash"]), "left").select("id", F.coalesce("matches", none).alias("matches"))
+
+
+def _hits(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows that match something, written: ids, hashes and matches, never texts."""
+    return scratch.save(rows.where(F.size("matches") > 0))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = 0.8, max_bytes: int = 4_000_000) -> DataFrame:
     """The rows of ``docs`` whose text matches no item."""
     scratch, kind = Scratch(docs.sparkSession, "leaks"), benchmark.schema["item_id"].dataType
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    name = "__leak_text"
+    while name in docs.columns:
+        name += "_"
+    gone: list[DataFrame] = []
     for slices, last in _rounds(benchmark, "item_id", "text", max_bytes):
-        docs = docs.where(F.size(F.concat(*[_matches(text, items, threshold, kind) for items in slices])) == 0)
-        if not last:
-            docs = scratch.save(docs)
-    return docs
+        own = F.concat(*[_matches(text, items, threshold, kind) for items in slices])
+        if last and not gone:
+            return docs.where(F.size(own) == 0)
+        gone.append(_hits(docs.select(F.xxhash64(text).alias(name), F.md5(text.cast("binary")).alias("digest"), own.alias("matches")), scratch).select(name, "digest"))
+    # Equal texts match the same items, so the text's hashes tell which rows go.
+    leaks = functools.reduce(DataFrame.unionAll, gone).distinct()
+    return docs.join(leaks, (F.xxhash64(text) == leaks[name]) & (F.md5(text.cast("binary")) == leaks["digest"]), "left_anti")
