@@ -4,9 +4,10 @@ import re
 import numpy as np
 import pytest
 
+from tests.oracle import assert_same
 from voxloom.llm import catalog, near_dedup
 from voxloom.llm.components import connected_components
-from voxloom.llm.near_dedup import BANDS, Centres, bands, linked, near_duplicates, shingle_set
+from voxloom.llm.near_dedup import BANDS, Centres, bands, keep_one, linked, near_duplicates, shingle_set
 from voxloom.llm.storage import Scratch
 from voxloom.llm.tables import documents
 
@@ -131,3 +132,14 @@ def test_query_equals_brute_force(spark):
 
 def test_hash_set():
     assert len(shingle_set(b"a b c d", 4, {})) == 1 and len(shingle_set(b"a b", 4, {})) == 1 and len(shingle_set(b" ", 4, {})) == 0
+
+
+def test_keep_one_with_a_clashing_column(spark):
+    rows = [(i, "same words in all of these texts", i) for i in range(4)]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string, __near_id long"))
+    assert [(r.doc_id, r["__near_id"]) for r in kept.collect()] == [(0, 0)]
+
+
+def test_query_equals_sql(spark):
+    d = "/root/testdata/sf0.01"
+    assert assert_same(catalog.op5_near_dedup(spark, d), catalog.ORACLES["op5_near_dedup"], d) > 0

@@ -78,3 +78,9 @@ def test_query_packs_every_document_tightly(spark):
     got = {(i, p): b - a for r in rows for i, p, a, b in zip(r.doc_ids, r.pieces, r.cu_seqlens, r.cu_seqlens[1:])}
     assert got == want and sum(len(r.doc_ids) for r in rows) == len(want)
     assert len(rows) < 1.02 * sum(want.values()) / 2048 + 2
+
+
+def test_rows_are_the_same_in_any_layout(spark):
+    docs = documents(spark, "/root/testdata/sf0.001").select("doc_id", "text")
+    of = lambda n: sorted((r.shard, r.row, bytes(r.ids), tuple(r.cu_seqlens)) for r in sequences(pack_documents(docs.repartition(n), VOCABULARY, shard_bytes=50_000)).collect())
+    assert of(1) == of(8)

@@ -82,3 +82,12 @@ def test_query_catches_held_out_toxic_documents(spark):
     precision = sum(t for p, t in out if p) / sum(p for p, _ in out)
     assert recall > 0.85 and precision > 0.95
     assert documents(spark, d).where((fold(catalog.F.col("doc_id")) == 0)).count() == sum(r.held_out for r in rows.values())
+
+
+def test_clashing_columns_and_equal_texts_with_different_labels(spark):
+    rows = [(i, ("bad awful thing " if i % 2 else "good nice thing ") + f"w{i % 40}", 1, "x") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, label string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 1 and i < 390)) for i in range(400)], "doc_id long, toxic int")
+    models = [train(docs.repartition(n), labels) for n in (1, 5)]
+    assert models[0].weights == models[1].weights and models[0].bias == models[1].bias
+    assert models[0].logit("bad awful thing") > models[0].logit("good nice thing")

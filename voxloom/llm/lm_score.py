@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .gru import RecurrentModel
 from .storage import Scratch
-from .worker import keep
+from .worker import keep, one_thread
 
 #: The end token; no word holds a line feed.
 END = b"\n"
@@ -134,6 +134,7 @@ def _replica_batch(place: int, words: float, weights: np.ndarray) -> pa.RecordBa
 
 def _numbers(head: list[bytes], key: str) -> dict[bytes, int]:
     """Word to place in the head, built once per run in a worker process."""
+    one_thread()
     return keep("lm", key, lambda: {w: k for k, w in enumerate(head)})
 
 

@@ -26,6 +26,25 @@ def release() -> None:
         pass
 
 
+def one_thread() -> None:
+    """Matrix products of this process in one thread: tasks are the parallelism, and a local
+    session sets no limit of its own."""
+    if sys.__dict__.setdefault("_voxloom_threads", False):
+        return
+    sys._voxloom_threads = True
+    try:
+        with open("/proc/self/maps") as f:
+            found = {line.split()[-1] for line in f if "openblas" in line}
+    except OSError:  # another system
+        return
+    for path in found:
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def keep(operator: str, key: str, build: Callable[[], Any], most: int = 1) -> Any:
     """The object under ``key``, built at need; those of other operators go, and of this one
     the ``most`` last stay."""
