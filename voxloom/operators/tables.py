@@ -105,15 +105,18 @@ def lookup_with_default(rows: DataFrame, names: DataFrame, key: str, value: str,
     return rows.join(small, rows[key] == F.col("__key"), "left").withColumn(value, F.coalesce("__value", key)).drop("__key", "__value")
 
 
-def first_with_prefix(prefixes: DataFrame, paths: DataFrame, prefix: str, path: str, directory_depth: int) -> DataFrame:
+def first_with_prefix(prefixes: DataFrame, paths: DataFrame, prefix: str, path: str) -> DataFrame:
     """Of each prefix the least path that starts with it; prefixes without drop out.
 
-    Both sides are joined on their first ``directory_depth`` path parts, which the prefix
-    must have, so only paths of one directory meet; the least path is an aggregate."""
-    head = lambda c: F.substring_index(c, "/", directory_depth)
-    left = prefixes.select(prefix).distinct().withColumn("__dir", head(prefix))
-    right = paths.select(path).withColumn("__dir", head(path))
-    return left.join(right, "__dir").where(F.col(path).startswith(F.col(prefix))).groupBy(prefix).agg(F.min(path).alias(path))
+    A path is cut to each length that a prefix has (a few, and never more than a path's own
+    characters), the least path of each cut is an aggregate, and prefixes join on equality."""
+    wanted = prefixes.select(prefix).where(F.col(prefix).isNotNull()).distinct()
+    lengths = sorted(r[0] for r in wanted.select(F.length(prefix)).distinct().collect())
+    if not lengths:
+        return wanted.withColumn(path, F.lit(None).cast("string")).limit(0)
+    cuts = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path))
+    heads = paths.select(path, F.explode(cuts).alias("__n")).groupBy(F.substring(F.col(path), F.lit(1), F.col("__n")).alias(prefix)).agg(F.min(path).alias(path))
+    return wanted.join(heads, prefix)
 
 
 # Order, limits and unions.
@@ -124,11 +127,13 @@ def first_rows(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     return rows.orderBy(*order).limit(n)
 
 
-def row_numbers(rows: DataFrame, order: str, name: str = "row", parts: int = 64) -> DataFrame:
+def row_numbers(rows: DataFrame, order: str, name: str = "row", part_rows: int = 1_000_000) -> DataFrame:
     """0-based numbers of the whole table in order of a unique numeric column.
 
-    Approximate quantiles cut the column into parts; rows are numbered within a part, and
-    a count per part gives where each starts, so no task sees all rows."""
+    Approximate quantiles cut the column into parts of about ``part_rows`` rows (8 to 1,024
+    parts); rows are numbered within a part, and a count per part gives where each starts,
+    so no task sees all rows."""
+    parts = min(1024, max(8, rows.count() // part_rows))
     cuts = rows.agg(F.percentile_approx(order, [k / parts for k in range(1, parts)])).first()[0] or []
     part = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c <= F.col(order))) if cuts else F.lit(0)
     parted = rows.withColumn("__part", part)

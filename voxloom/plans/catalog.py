@@ -307,7 +307,7 @@ def prefix_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select("url")
     rest = F.substring(F.regexp_extract("url", r"^[a-z]+://[^/]+/(.*)$", 1), 1, 2)
     prefixes = p.select(F.concat(F.regexp_extract("url", r"^([a-z]+://[^/]+/)", 1), rest).alias("prefix")).where(F.length("prefix") > 2)
-    return tables.first_with_prefix(prefixes, p, "prefix", "url", 3)
+    return tables.first_with_prefix(prefixes, p, "prefix", "url")
 
 
 @query("SELECT c.c_custkey, c.c_nationkey::VARCHAR AS channel, coalesce(n.n_name, c.c_nationkey::VARCHAR) AS folder FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) n ON c.c_nationkey = n.n_nationkey")
@@ -471,9 +471,8 @@ def pad_collate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overlap_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings of a label are the frames of a waveform."""
     e = table(spark, sf_dir, "embeddings")
-    frames = pairs.numbered(e, ["label"], "vec_id").select("label", "vec_id", "embedding")
-    number = F.row_number().over(pairs.Window.partitionBy("label").orderBy("vec_id")) - 1
-    whole = audio.overlap_add(frames.withColumn("i", number), ["label"], "i", "embedding", 20)
+    number = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    whole = audio.overlap_add(e.select("label", number.alias("i"), "embedding"), ["label"], "i", "embedding", 20)
     return whole.select("label", F.posexplode("audio").alias("pos", "sample")).select("label", _long(F.col("pos")).alias("pos"), F.round("sample", 6).alias("sample"))
 
 

@@ -29,7 +29,7 @@ def build_segments(
     # A recording's own segments, in one row.
     whole = todo.groupBy("recording").agg(F.collect_list(F.struct(*FIELDS)).alias("parts")).withColumn("prefix", F.concat(F.lit(root + "/"), "recording"))
     files = listing(spark, root).select("path")
-    found = whole.join(first_with_prefix(whole, files, "prefix", "path", root.count("/") + 1), "prefix").select("path", "parts")
+    found = whole.join(first_with_prefix(whole, files, "prefix", "path"), "prefix").select("path", "parts")
     sound = scan_audio(spark, root, rate, decode, wanted=found.select("path")).where("error is null").select("path", F.col("audio").alias("sound"))
     rows = sound.join(found, "path").select("sound", F.inline("parts"))
     cut = slice_by_time(F.col("sound"), F.col("start_ms"), F.col("end_ms"), rate)
