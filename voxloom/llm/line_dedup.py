@@ -4,7 +4,8 @@ Each document gives one row per distinct line key: a 128-bit hash, the id and th
 positions of its lines.  The rows are range-partitioned by (hash, id) and sorted
 within partitions by hash, document and position.  A hash that a third of the
 corpus shares so spans as many partitions as its rows need.  Every task streams
-its rows and holds one run's first documents at most, fewer than ``min_docs``.
+its rows and holds one run's first documents at most, fewer than ``min_docs`` (rows that
+repeat an id are one document, so of those a task holds as many as share a line).
 
 A run that a partition boundary cuts cannot be decided by one task.  Each task
 therefore reports the document count of its first and last run, and their
