@@ -24,6 +24,15 @@ def mono(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, lambda a, b: (a + b) / 2)
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """Halves away from 0 in binary arithmetic, as C and SQL engines round doubles: what is
+    negative and rounds to nothing is -0.0, where Spark's own decimal ``round`` gives 0.0."""
+    y = x * 10.0**digits
+    near = F.rint(y)
+    whole = F.when(F.abs(y - near) == 0.5, y + F.signum(y) * 0.5).otherwise(near) / 10.0**digits
+    return F.when(F.isnan(whole) | (F.abs(whole) == float("inf")), x).otherwise(whole)
+
+
 def as_float32(audio: Column) -> Column:
     """X23."""
     return audio.cast("array<float>")

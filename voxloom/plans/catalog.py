@@ -473,7 +473,7 @@ def overlap_add(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     number = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
     whole = audio.overlap_add(e.select("label", number.alias("i"), "embedding"), ["label"], "i", "embedding", 20)
-    return whole.select("label", F.posexplode("audio").alias("pos", "sample")).select("label", _long(F.col("pos")).alias("pos"), F.round("sample", 6).alias("sample"))
+    return whole.select("label", F.posexplode("audio").alias("pos", "sample")).select("label", _long(F.col("pos")).alias("pos"), audio.rounded(F.col("sample"), 6).alias("sample"))
 
 
 @query("SELECT vec_id, list_transform(range(1, 33), lambda i: round((embedding[i]::DOUBLE + embedding[i + 32]::DOUBLE) / 2, 6)) AS mono, 64 / 16000.0::DOUBLE AS duration FROM embeddings")
@@ -481,7 +481,7 @@ def stereo_to_mono(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X20, X22, X23."""
     e = F.col("embedding").cast("array<double>")
     mixed = audio.mono(F.slice(e, 1, 32), F.slice(e, 33, 32))
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(mixed, lambda x: F.round(x, 6)).alias("mono"), audio.duration_sec(F.col("embedding"), 16000).alias("duration"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.transform(mixed, lambda x: audio.rounded(x, 6)).alias("mono"), audio.duration_sec(F.col("embedding"), 16000).alias("duration"))
 
 
 @query(
