@@ -189,3 +189,45 @@ def test_query_digests(spark):
         assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
         assert [x for x in r.spans.split(",") if x and not x.startswith("model")] == [x for x in said.split(",") if x]
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == n for _, k, _ in want) for n in range(3))
+
+
+def test_all_candidates_are_learned_from(spark, monkeypatch):
+    """However little the driver takes: shares hold every candidate, and scores come from whole fifths."""
+    monkeypatch.setattr(secrets, "REPLICA", 400)
+    monkeypatch.setattr(secrets, "LEAST_SHARED", 150)
+    docs = spark.createDataFrame(planted(1500), "doc_id long, text string")
+    seen, tables = set(), []
+    for r in secrets.find(docs).collect():
+        seen |= {(f.label, f.before, f.body, f.after) for f in r.found}
+    averaged, platt_of = secrets.averaged, secrets.platt_of
+    monkeypatch.setattr(secrets, "averaged", lambda shares, *x: tables.append(shares) or averaged(shares, *x))
+    monkeypatch.setattr(secrets, "platt_of", lambda scores: tables.append(scores) or platt_of(scores))
+    scan_secrets(docs, max_each=50)
+    shares = tables[0].collect()
+    rows = [tuple(x) for r in shares for x in r.rows]
+    assert len(shares) == -(-len(seen) // 400) and {x[:4] for x in rows} == seen
+    assert sorted(x[:4] for x in rows if x[4]) == sorted(seen)  # one of the copies is marked
+    counted = {r.use: r["count"] for r in tables[-1].groupBy("use").count().collect()}
+    fifth = sum(secrets.crc32(body.encode()) // 2 % 5 == 0 for label, _, body, _ in seen if label)
+    assert counted[1] == fifth * (2 + max(1, secrets.REDRAWN // sum(x[0] for x in seen)))
+
+
+def test_scan_does_not_hang_on_what_the_driver_takes(spark):
+    """The forms of keys are many and the driver takes few; the others count just as much."""
+    rows = planted(2400)
+    got = {r.id: r.spans for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string"), max_each=5).collect()}
+    assert all(brute(t) == sorted((s.start, s.kind, s.end) for s in got[i] if s.kind < 3) for i, t in rows)
+    added = {i for i, spans in got.items() if any(s.kind == 3 for s in spans)}
+    assert len(added & set(range(3, 2400, 80))) >= 25  # of 30
+    assert len(added - set(range(3, 2400, 80))) < 15
+
+
+@pytest.mark.parametrize("texts", [
+    [f"token = QwErTyUi1234AsDf{k % 2}" for k in range(3)] + [f"see b{k}.example.com/about" for k in range(300)],
+    [f"x{k} token = {k:016x}Zz" for k in range(300)] + ["see b1.example.com/about"],
+    [f"x{k} token = QwErTyUi1234AsDf y{k}" for k in range(300)] + [f"x{k} international y{k}" for k in range(300)],
+])
+def test_few_findings_few_others_and_few_runs(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.spans for r in scan_secrets(docs, max_each=20).collect()}
+    assert all(brute(t) == sorted((s.start, s.kind, s.end) for s in got[i] if s.kind < 3) for i, t in enumerate(texts))
