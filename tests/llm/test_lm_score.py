@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from voxloom.llm import catalog, lm_score
@@ -170,3 +171,22 @@ def test_long_texts(spark):
     rows = {r.id: r for r in language_scores(docs, catalog.F.col("doc_id") < 4).collect()}
     assert rows[1].n_tokens == 30_001 and rows[4].n_known == 30_001 and rows[3].n_tokens == 2
     assert rows[4].score == pytest.approx(rows[1].score, rel=1e-4) and rows[4].score > rows[4].base_score
+
+
+def test_words_and_their_numbers_are_those_of_plain_python():
+    rows = [b"", b" ", b" The  the\n", b"A\x0bB\x0cC\x1cD\x85E\x00F", b"\xff\xfe \xc3 x", "ÄÖ \xa0 The".encode(), b"the"]
+    data = pa.array([b"unseen", *rows], pa.binary()).slice(1)
+    words, begins = lm_score.words_of(data)
+    plain = [r.lower().split() for r in rows]
+    assert [words[a:b].to_pylist() for a, b in zip(begins, begins[1:])] == plain
+    for head in ([b"the", b"\n", b"x"], [b"x"], [b"\xff\xfe", b"the"]):
+        numbers, begins = lm_score.numbered(words, begins if len(words) == begins[-1] else lm_score.words_of(data)[1], pa.array(head, pa.binary()))
+        assert [numbers[a:b].tolist() for a, b in zip(begins, begins[1:])] == [[head.index(w) if w in head else len(head) for w in [*p, b"\n"]] for p in plain]
+
+
+def test_states_lie_feature_by_feature():
+    m, rng = small_model()
+    given = rng.integers(0, 152, (5, 4))
+    cache, states, last = m._forward(given, np.zeros((4, 24), order="F"))
+    assert states.flags.c_contiguous  # rows for the output layer
+    assert last.flags.f_contiguous and all(x.flags.f_contiguous for step in cache for x in (step[1], step[4]))

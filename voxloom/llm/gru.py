@@ -7,19 +7,22 @@ The probability of a word is that of its class times that of the word in the cla
 Texts run in lanes: a lane holds several texts one after another, the state is set to
 zero where one starts and is carried on over all windows until it ends, so a text's
 log-likelihood is that of the whole text.  Backpropagation is truncated to a window.
+
+States and gates of a step have shape (lanes, features) and lie feature by feature, so that
+a gate's part of them is one run of memory; the output layer works on rows, a block of them
+that fits the cache at a time.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 
 WIDTH = 64
 EMBED, HIDDEN, WINDOW = 16, 24, 16
 #: States that meet the output weights together.
-BLOCK = 2048
+BLOCK = 1024
 
 
 class Lanes:
@@ -102,7 +105,7 @@ class RecurrentModel:
 
     # One step of the gates, for the lanes' states h and the inputs' part x of the gates.
     def _step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        u = h @ self.p["state"]
+        u = (self.p["state"].T @ h.T).T
         zr = u[:, : 2 * HIDDEN] + x[:, : 2 * HIDDEN]
         np.negative(zr, out=zr)
         np.exp(zr, out=zr)
@@ -129,25 +132,13 @@ class RecurrentModel:
         np.exp(logits, out=logits)
         return value - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
-    def _class_terms(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probabilities of the targets' classes, and all classes' probabilities."""
-        logits = h @ self.p["class"] + self.p["class_b"]
-        _shift(logits)
-        own = logits[np.arange(len(h)), self._class_of(target)]
-        np.exp(logits, out=logits)
-        total = logits @ np.ones(logits.shape[1], logits.dtype)
-        logits *= (1 / total)[:, None]
-        return own - np.log(total), logits
-
-    def _by_class(self, target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        known = np.flatnonzero(target < self.size)
-        kind = target[known] // WIDTH
-        order = np.argsort(kind, kind="stable")
-        known, kind = known[order], kind[order]
-        cuts = np.flatnonzero(np.diff(kind)) + 1
-        for part in np.split(known, cuts):
-            if len(part):
-                yield int(target[part[0]]) // WIDTH, part
+    def _by_class(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """The rows of numbered words ordered by class, and each class' place in that order."""
+        kind = self._class_of(target)
+        order = np.argsort(kind.astype(np.int16) if self.classes < 2**15 else kind, kind="stable")
+        ends = np.cumsum(np.bincount(kind, minlength=self.classes + 1)[: self.classes]).tolist()
+        parts = [(c, slice(begin, end)) for c, (begin, end) in enumerate(zip([0, *ends], ends)) if end > begin]
+        return order[: ends[-1] if ends else 0], parts
 
     def log_probabilities(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithms of the targets' probabilities in states ``h``."""
@@ -158,20 +149,18 @@ class RecurrentModel:
         for at in range(0, len(h), BLOCK):  # blocks that stay in the cache
             part = slice(at, at + BLOCK)
             out[part] = self._own_log(h[part], classes, kind[part])
-        for c, known in self._by_class(target):
+        known, parts = self._by_class(target)
+        for c, own in parts:
             words = np.vstack([self.p["word"][c], self.p["word_b"][c]])
-            for at in range(0, len(known), BLOCK):
-                part = known[at : at + BLOCK]
+            for at in range(own.start, own.stop, BLOCK):
+                part = known[at : min(at + BLOCK, own.stop)]
                 out[part] += self._own_log(h[part], words, target[part] % WIDTH)
         return out
 
     def _begun(self, h: np.ndarray, given: np.ndarray) -> np.ndarray:
         """The states, zero where a text starts."""
-        fresh = given == self.start
-        if fresh.any():
-            h = h.copy()
-            h[fresh] = 0
-        return h
+        going = given != self.start
+        return h if going.all() else h * going[:, None]
 
     def score(self, texts: list[np.ndarray], lanes: int = 384) -> np.ndarray:
         """Natural log-likelihood of each whole text."""
@@ -179,21 +168,21 @@ class RecurrentModel:
         if not texts:
             return total
         laid = Lanes(texts, lanes, self.start)
-        table = self.p["embed"] @ self.p["input"] + self.p["gate_b"]
-        h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+        embed, inputs = self._inputs()
+        h = np.zeros((len(laid.lengths), HIDDEN), np.float32, order="F")
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush() -> None:
             if held:
                 states, target, text = (np.concatenate(x) for x in zip(*held, strict=True))
-                total[:] += np.bincount(text, self.log_probabilities(states, target), len(total))
+                total[:] += np.bincount(text, self.log_probabilities(np.ascontiguousarray(states), target), len(total))
                 held.clear()
 
         size = 0
         for t in range(len(laid.active)):
             cells = laid.step(t)
             given = laid.given[cells]
-            h = self._step(table.take(given, axis=0), self._begun(h[: len(given)], given))[0]
+            h = self._step((inputs @ embed.take(given, axis=0).T).T, self._begun(h[: len(given)], given))[0]
             held.append((h, laid.target[cells], laid.text[cells]))
             size += len(given)
             if size > 40_000:
@@ -202,84 +191,120 @@ class RecurrentModel:
         flush()
         return total
 
+    def _inputs(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words' vectors, with a 1 for the bias, and what makes the gates' part of them."""
+        p = self.p
+        return np.hstack([p["embed"], np.ones((len(p["embed"]), 1), p["embed"].dtype)]), np.vstack([p["input"], p["gate_b"]]).T
+
     def _forward(self, given: np.ndarray, h: np.ndarray) -> tuple[list, np.ndarray, np.ndarray]:
         """What the gates were at each step of a (steps, lanes) window, all states, the last."""
-        x = self.p["embed"][given] @ self.p["input"] + self.p["gate_b"]
+        embed, inputs = self._inputs()
         cache, states = [], []
-        for t in range(len(given)):
-            fresh = (given[t] != self.start)[:, None].astype(np.float32)
-            before = h * fresh
-            h, z, r, n, u = self._step(x[t], before)
-            cache.append((before, fresh, z, r, n, u))
+        for words in given:
+            vectors = embed.take(words, axis=0).T
+            before = self._begun(h, words)
+            h, z, r, n, u = self._step((inputs @ vectors).T, before)
+            cache.append((vectors, before, z, r, n, u))
             states.append(h)
-        return cache, np.concatenate(states), h
+        return cache, np.ascontiguousarray(np.concatenate(states)), h
 
     def _output(self, flat: np.ndarray, aim: np.ndarray, weight: np.ndarray, g: dict[str, np.ndarray]) -> tuple[np.ndarray, float]:
         """The states' gradients and the loss; adds the output layer's gradients to ``g``."""
         p = self.p
-        log_class, shares = self._class_terms(flat, aim)
-        loss = -float(log_class @ weight)
-        shares[np.arange(len(aim)), self._class_of(aim)] -= 1
-        shares *= weight[:, None]
-        g["class"] += flat.T @ shares
-        g["class_b"] += shares.sum(0)
-        back = shares @ p["class"].T
-        groups = list(self._by_class(aim))
-        if not groups:
-            return back, loss
+        ones = np.ones(max(WIDTH, self.classes + 1), flat.dtype)
+        states = np.concatenate([flat, np.ones((len(flat), 1), flat.dtype)], 1)  # 1 meets the bias
+        back, loss = np.empty_like(flat), 0.0
+
+        def shares_of(logits: np.ndarray, own: np.ndarray, weight: np.ndarray) -> float:
+            """The loss; turns logits into its gradients."""
+            _shift(logits)
+            numbers = np.arange(len(own))
+            value = logits[numbers, own]
+            np.exp(logits, out=logits)
+            total = logits @ ones[: logits.shape[1]]
+            logits *= (weight / total)[:, None]
+            logits[numbers, own] -= weight
+            return -float((value - np.log(total)) @ weight)
+
+        weights = np.vstack([p["class"], p["class_b"]])
+        turned, moved, kind = np.ascontiguousarray(p["class"].T), np.zeros_like(weights), self._class_of(aim)
+        for at in range(0, len(flat), BLOCK):
+            part = slice(at, at + BLOCK)
+            logits = states[part] @ weights
+            loss += shares_of(logits, kind[part], weight[part])
+            moved += states[part].T @ logits
+            np.matmul(logits, turned, out=back[part])
+        g["class"] += moved[:-1]
+        g["class_b"] += moved[-1]
         # Rows side by side by class, so that only the products go class by class.
-        at = np.concatenate([rows for _, rows in groups])
-        ends = np.cumsum([len(rows) for _, rows in groups])
-        parts = [(c, slice(end - len(rows), end)) for (c, rows), end in zip(groups, ends.tolist(), strict=True)]
-        sorted_states, own, numbers = flat[at], aim[at] % WIDTH, np.arange(len(at))
-        logits, moved = np.empty((len(at), WIDTH), flat.dtype), np.empty_like(sorted_states)
-        for c, part in parts:
-            np.matmul(sorted_states[part], p["word"][c], out=logits[part])
-            logits[part] += p["word_b"][c]
-        _shift(logits)
-        np.exp(logits, out=logits)
-        total = logits @ np.ones(WIDTH, logits.dtype)
-        loss -= float(np.log(np.maximum(logits[numbers, own] / total, 1e-30)) @ weight[at])
-        logits *= (weight[at] / total)[:, None]
-        logits[numbers, own] -= weight[at]
-        for c, part in parts:
-            g["word"][c] += sorted_states[part].T @ logits[part]
-            np.matmul(logits[part], p["word"][c].T, out=moved[part])
-        g["word_b"][[c for c, _ in parts]] += np.add.reduceat(logits, [part.start for _, part in parts], axis=0)
-        back[at] += moved
+        known, parts = self._by_class(aim)
+        if not parts:
+            return back, loss
+        own, weight, rows = aim[known] % WIDTH, weight[known], states[known]
+        weights = np.concatenate([p["word"], p["word_b"][:, None]], 1)
+        turned, moved, sums = p["word"].transpose(0, 2, 1), np.empty((len(known), HIDDEN), flat.dtype), np.zeros_like(weights)
+        logits = np.empty((len(known), WIDTH), flat.dtype)
+        first = 0
+        while first < len(parts):  # whole classes, about a block of rows together
+            last, begin = first, parts[first][1].start
+            while last < len(parts) and (last == first or parts[last][1].stop - begin <= BLOCK):
+                c, part = parts[last]
+                np.matmul(rows[part], weights[c], out=logits[part])
+                last += 1
+            block = slice(begin, parts[last - 1][1].stop)
+            loss += shares_of(logits[block], own[block], weight[block])
+            for c, part in parts[first:last]:
+                np.matmul(rows[part].T, logits[part], out=sums[c])
+                np.matmul(logits[part], turned[c], out=moved[part])
+            first = last
+        g["word"] += sums[:, :-1]
+        g["word_b"] += sums[:, -1]
+        back[known] += moved
         return back, loss
 
     def _backward(self, given: np.ndarray, cache: list, back: np.ndarray, g: dict[str, np.ndarray]) -> None:
         """Adds the gradients of a window's gates and words to ``g``."""
         p, (steps, lanes) = self.p, given.shape
-        back = back.reshape(steps, lanes, HIDDEN)
-        d = np.zeros((lanes, HIDDEN), np.float32)
-        # What does not depend on the later steps, for all steps at once.
-        befores, zs, rs, ns, us = (np.stack([c[k] for c in cache]) for k in (0, 2, 3, 4, 5))
-        rest = 1 - zs
-        by_n, by_z, by_r = rest * (1 - ns * ns), (befores - ns) * zs * rest, us * rs * (1 - rs)
-        gates, by_state = (np.empty((steps, lanes, 3 * HIDDEN), back.dtype) for _ in range(2))
-        back_state = np.ascontiguousarray(p["state"].T)
+        back = np.ascontiguousarray(back.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+        d = np.zeros((HIDDEN, lanes), back.dtype)
+        # A step's gradients, feature by feature: the state's part of n, then the gates z and r, then n.
+        # The first three parts meet the state's weights, the last three the words'.
+        gates = np.empty((steps, 4 * HIDDEN, lanes), back.dtype)
+        by_state = np.hstack([p["state"][:, 2 * HIDDEN :], p["state"][:, : 2 * HIDDEN]])
+        to_state, to_input = np.zeros_like(by_state), np.zeros((EMBED + 1, 3 * HIDDEN), by_state.dtype)
         for t in reversed(range(steps)):
-            d = d + back[t]
-            own, du = gates[t], by_state[t]
-            dn = np.multiply(d, by_n[t], out=own[:, 2 * HIDDEN :])
-            np.multiply(d, by_z[t], out=own[:, :HIDDEN])
-            np.multiply(dn, by_r[t], out=own[:, HIDDEN : 2 * HIDDEN])
-            du[:, : 2 * HIDDEN] = own[:, : 2 * HIDDEN]
-            np.multiply(dn, rs[t], out=du[:, 2 * HIDDEN :])
-            d *= zs[t]
-            d += du @ back_state
-            d *= cache[t][1]
-        g["state"] += befores.reshape(-1, HIDDEN).T @ by_state.reshape(-1, 3 * HIDDEN)
-        rows = gates.reshape(-1, 3 * HIDDEN)
+            vectors, *rest = cache[t]
+            before, z, r, n, u = (x.T for x in rest)
+            own, dz, dr, dn = gates[t].reshape(4, HIDDEN, lanes)
+            d += back[t]
+            kept = d * z
+            np.subtract(d, kept, out=dn)
+            np.subtract(before, n, out=dz)
+            dz *= z
+            dz *= dn  # (before - n) z (1 - z) d
+            np.multiply(n, n, out=own)
+            np.subtract(1, own, out=own)
+            dn *= own
+            np.multiply(dn, r, out=own)
+            np.subtract(1, r, out=dr)
+            dr *= own
+            dr *= u
+            to_state += before @ gates[t, : 3 * HIDDEN].T
+            to_input += vectors @ gates[t, HIDDEN:].T
+            d = by_state @ gates[t, : 3 * HIDDEN]
+            d += kept
+            going = given[t] != self.start
+            if not going.all():
+                d *= going
+        g["state"] += np.hstack([to_state[:, HIDDEN:], to_state[:, :HIDDEN]])
+        g["input"] += to_input[:-1]
+        g["gate_b"] += to_input[-1]
+        moved = (gates[:, HIDDEN:].transpose(0, 2, 1) @ p["input"].T).reshape(-1, EMBED)
         words = given.reshape(-1)
-        g["input"] += p["embed"][words].T @ rows
-        g["gate_b"] += rows.sum(0)
-        moved = rows @ p["input"].T
-        order = np.argsort(words, kind="stable")
-        begin = np.flatnonzero(np.r_[True, np.diff(words[order]) > 0])
-        g["embed"][words[order][begin]] += np.add.reduceat(moved[order], begin, axis=0)
+        order = np.argsort(words.astype(np.int16) if self.start < 2**15 else words, kind="stable")
+        words = words[order]
+        begin = np.flatnonzero(np.r_[True, np.diff(words) > 0])
+        g["embed"][words[begin]] += np.add.reduceat(moved[order], begin, axis=0)
 
     def gradients(self, windows: list[tuple], words: int) -> tuple[dict[str, np.ndarray], float]:
         """Gradients and loss, both by word, of windows (given, target, live, cache, states) that
@@ -311,7 +336,7 @@ class RecurrentModel:
         lanes = int(max(8, min(lanes, words // (WINDOW * 100))))
         laid = Lanes(texts, lanes, self.start)
         kept = optimiser if optimiser is not None else {}
-        h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+        h = np.zeros((len(laid.lengths), HIDDEN), np.float32, order="F")
         full, gathered, seen = len(laid.lengths) * WINDOW, [], 0
         for begin in range(0, len(laid.active), WINDOW):
             end = min(begin + WINDOW, len(laid.active))
@@ -333,11 +358,10 @@ class RecurrentModel:
         for k, x in g.items():
             m = kept.setdefault(("m", k), np.zeros_like(x))
             v = kept.setdefault(("v", k), np.zeros_like(x))
-            x *= scale
+            x *= np.float32(0.1) * scale
             m *= np.float32(0.9)
-            m += np.float32(0.1) * x
-            x *= x
-            x *= np.float32(0.01)
+            m += x
+            x *= x  # a hundredth of the gradient's square
             v *= np.float32(0.99)
             v += x
             np.sqrt(v, out=x)

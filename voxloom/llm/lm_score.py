@@ -30,12 +30,11 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
-from collections.abc import Callable, Iterator
-from itertools import repeat
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,8 +45,8 @@ from .worker import keep, one_thread
 
 #: The end token; no word holds a line feed.
 END = b"\n"
-#: Words that a task counts before it hands them on, and that it scores together.
-COUNTED, TOGETHER = 400_000, 4_000_000
+#: Words, about, that a task counts, learns from or scores together.
+TOGETHER = 4_000_000
 FAN_IN = 8
 #: Training words of a replica in a round, and the most replicas of a round; beyond that each
 #: takes more words.
@@ -55,30 +54,34 @@ REPLICA_WORDS, MOST_REPLICAS = 2_000_000, 1024
 LN10 = math.log(10)
 
 
-def words_of(data: bytes) -> list[bytes]:
-    """Words with A-Z lower-cased, and the end token."""
-    found = data.lower().split()  # bytes split at space and U+0009 to U+000D alone
-    found.append(END)
-    return found
+def words_of(data: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts with A-Z lower-cased, without end tokens, and where each text's begin."""
+    text = pc.cast(data, options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))  # only ASCII is looked at
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))  # at space and U+0009 to U+000D alone
+    words = lists.flatten().cast(pa.binary())
+    full = pc.not_equal(pc.binary_length(words), 0)  # texts that begin or end with a space, or are empty, have empty ones
+    kept = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    begins = lists.offsets.to_numpy() - (lists.offsets[0].as_py() or 0)
+    return words.filter(full), kept[begins]
+
+
+def numbered(words: pa.Array, begins: np.ndarray, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the words and each text's end token in the vocabulary, its length for others; where each text's begin."""
+    many, texts = len(vocabulary), np.arange(len(begins) - 1)
+    found = pc.index_in(words, value_set=vocabulary).fill_null(many).to_numpy()
+    out = np.full(len(found) + len(texts), pc.fill_null(pc.index_in(pa.scalar(END, pa.binary()), value_set=vocabulary), many).as_py(), np.int32)
+    out[np.arange(len(found)) + np.repeat(texts, np.diff(begins))] = found
+    return out, begins + np.arange(len(begins))
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, c) over all rows of (data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
-            counts.clear()
-            return batch
-
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                counts.update(words_of(data))
-                if len(counts) > COUNTED:
-                    yield flush()
-        yield flush()
+        for rows in _grouped(batches):
+            found = pc.value_counts(words_of(rows.column("data"))[0])
+            yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([rows.num_rows], pa.int64())], names=["word", "c"])
 
     return texts.select("data").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -128,28 +131,42 @@ def averaged(replicas: DataFrame, scratch: Scratch) -> np.ndarray | None:
     return sum(np.frombuffer(r.weights, np.float64) for r in found) / sum(r.words for r in found)
 
 
+def _flat(column: pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
+
+
 def _replica_batch(place: int, words: float, weights: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([place], pa.int64()), pa.array([float(words)]), pa.array([weights.tobytes()], pa.binary())], names=["place", "words", "weights"])
 
 
-def _numbers(head: list[bytes], key: str) -> dict[bytes, int]:
-    """Word to place in the head, built once per run in a worker process."""
+def _vocabulary(head: list[bytes], key: str) -> pa.Array:
+    """The head as an Arrow array, built once per run in a worker process."""
     one_thread()
-    return keep("lm", key, lambda: {w: k for k, w in enumerate(head)})
+    return keep("lm", key, lambda: pa.array(head, pa.binary()))
+
 
+def _grouped(batches: Iterator[pa.RecordBatch], key: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of one ``key``, as many together as hold about TOGETHER words in ``data``."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+
+    def together() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-def _grouped(batches: Iterator[pa.RecordBatch], key: Callable[[tuple], object] = lambda row: None) -> Iterator[list[tuple]]:
-    """Rows of one key, as many together as hold about TOGETHER words."""
-    rows, size = [], 0
     for batch in batches:
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if rows and (size >= TOGETHER or key(row) != key(rows[0])):
-                yield rows
-                rows, size = [], 0
-            rows.append(row)
-            size += len(row[-1]) // 6 + 1
-    if rows:
-        yield rows
+        begin = 0
+        sizes = pc.binary_length(batch.column("data")).to_pylist()
+        for at, (n, own) in enumerate(zip(sizes, batch.column(key).to_pylist() if key else [None] * len(sizes), strict=True)):
+            if size and (size >= TOGETHER or own != last):
+                if at > begin:
+                    held.append(batch.slice(begin, at - begin))
+                yield together()
+                held, size, begin = [], 0, at
+            size, last = size + n // 6 + 1, own
+        if begin < len(sizes):
+            held.append(batch.slice(begin))
+    if held:
+        yield together()
 
 
 def language_scores(
@@ -182,16 +199,17 @@ def language_scores(
 
     def learner(weights: np.ndarray):
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            get = _numbers(vocabulary[:size], key + "learn").get
+            words = _vocabulary(vocabulary[:size], key + "learn")
             place, model, kept, total = None, None, {}, 0
-            for rows in _grouped(batches, lambda row: row[0]):
-                if rows[0][0] != place:
+            for rows in _grouped(batches, "place"):
+                own = rows.column("place")[0].as_py()
+                if own != place:
                     if total:
                         yield _replica_batch(place, total, model.weights().astype(np.float64) * total)
-                    place, model, kept, total = rows[0][0], RecurrentModel(small_counts, other, seed), {}, 0
+                    place, model, kept, total = own, RecurrentModel(small_counts, other, seed), {}, 0
                     model.load(weights)
-                numbers = [np.array(list(map(get, words_of(r[-1]), repeat(size))), np.int32) for r in rows]
-                total += model.fit(numbers, rate, lanes, kept)
+                numbers, begins = numbered(*words_of(rows.column("data")), words)
+                total += model.fit(np.split(numbers, begins[1:-1]), rate, lanes, kept)
             if total:
                 yield _replica_batch(place, total, model.weights().astype(np.float64) * total)
 
@@ -209,37 +227,41 @@ def language_scores(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers_of = _numbers(vocabulary, key)
-        get, model = numbers_of.get, RecurrentModel(small_counts, other, seed)
+        head_words = _vocabulary(vocabulary, key)
+        model = RecurrentModel(small_counts, other, seed)
         model.load(weights)
         place, many = TaskContext.get().partitionId() << 33, len(vocabulary)
+        logs = np.append(log_counts, 0.0)
         for rows in _grouped(batches):
-            numbers, columns = [], []
-            for name, learned, data in rows:
-                words = words_of(data)
-                n = np.array(list(map(get, words, repeat(many))))
-                in_head = n[n < many]
-                numbers.append(np.minimum(n, size).astype(np.int32))
-                unnumbered = in_head[in_head >= size]
-                place += 1
-                tail = Counter(words[k] for k in np.flatnonzero(n == many).tolist())
-                beyond = len(n) - int((n < size).sum())
-                columns.append([
-                    place, name, learned, len(n), len(in_head), float(log_counts[in_head].sum()) - len(n) * log_whole,
-                    float(log_counts[unnumbered].sum()) - beyond * log_other, [{"word": w, "n": c} for w, c in tail.items()],
-                ])
-            for row, log_likelihood in zip(columns, model.score(numbers), strict=True):
-                row[6] += log_likelihood / LN10
-            tail_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-            for at in range(0, len(columns), 500):
-                part = list(zip(*columns[at : at + 500], strict=True))
-                kinds = (pa.int64(), id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), tail_type)
-                names = ["place", "id", "learn", "n_tokens", "n_known", "base", "score", "tail"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, kinds, strict=True)], names=names)
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    id_type = to_arrow_type(docs.schema[id_col].dataType)
+            words, bare = words_of(rows.column("data"))
+            numbers, begins = numbered(words, bare, head_words)
+            texts, lengths = rows.num_rows, np.diff(begins)
+            text = np.repeat(np.arange(texts), lengths)
+            n_known, n_numbered = (np.bincount(text[numbers < top], minlength=texts) for top in (many, size))
+            base = np.bincount(text, logs[numbers], texts) - lengths * log_whole
+            unnumbered = numbers >= size
+            log_likelihood = np.bincount(text[unnumbered], logs[numbers[unnumbered]], texts) - (lengths - n_numbered) * log_other
+            log_likelihood += model.score(np.split(np.minimum(numbers, size), begins[1:-1])) / LN10
+            # Words beyond the head, and how often a text has each; an end token can be one too.
+            far = np.flatnonzero(numbers == many)
+            ends = np.zeros(len(numbers), bool)
+            ends[begins[1:] - 1] = True
+            if ends[far].any():
+                places = np.where(ends, len(words), np.cumsum(~ends) - 1)[far]
+                names = pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(places))
+            else:
+                names = words.take(pa.array(far - text[far]))
+            tail = pa.table({"text": text[far], "word": names}).group_by(["text", "word"], use_threads=False).aggregate([([], "count_all")])
+            tail = tail.take(pa.array(np.argsort(tail.column("text").to_numpy(), kind="stable")))
+            cuts = np.searchsorted(tail.column("text").to_numpy(), np.arange(texts + 1))
+            pairs = pa.StructArray.from_arrays([_flat(tail.column("word")), _flat(tail.column("count_all"))], ["word", "n"])
+            columns = {
+                "place": place + 1 + np.arange(texts), "id": rows.column("id"), "learn": rows.column("learn"), "n_tokens": lengths.astype(np.int64),
+                "n_known": n_known.astype(np.int64), "base": base, "score": log_likelihood, "tail": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pairs),
+            }
+            place += texts
+            yield from pa.table(columns).to_batches(max_chunksize=500)
+
     shape = f"place long, id {kind}, learn boolean, n_tokens long, n_known long, base double, score double, tail array<struct<word:binary,n:long>>"
     scored = scratch.save(texts.mapInArrow(score, shape))
     tail = scored.select("place", F.explode("tail").alias("t")).select("place", "t.word", "t.n").join(counts, "word", "left")
